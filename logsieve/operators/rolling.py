@@ -14,21 +14,27 @@ def compute_rolling_error_rate(
     df: DataFrame,
     lookback_seconds: int = ROLLING_LOOKBACK_SECONDS,
     *,
-    method: str = "bucketed",
+    method: str = "prefix",
 ) -> DataFrame:
     """Add `rolling_error_rate`: error % (rounded to 2) of the row's service
     over [t - lookback, t] in whole seconds, both ends included, all rows of
     the same second included.
 
-    `bucketed` (default) never puts a whole service in one task:
-      1. pre-aggregate rows to (service, second): requests and errors;
-      2. cut time into buckets of `lookback` seconds; a second's totals go to
-         its own bucket (as a target) and the next one (as a source only), so
-         every frame a target needs lies inside its bucket;
-      3. run the range window per (service, bucket) - at most 2 * lookback
-         rows each, whatever the traffic or time span;
+    `prefix` (default) costs O(n log n) and never puts a whole service in one
+    task:
+      1. pre-aggregate rows to (service, second): requests, errors;
+      2. cut time into buckets of `lookback` seconds. A second's totals go to
+         its own bucket and, as a copy, to the next one, so every frame a
+         second needs lies inside its own bucket's partition (at most
+         2 * lookback seconds of one service);
+      3. per (service, bucket), running sums C(t) over seconds give the frame
+         total as C(s) - C(s - lookback - 1). The second term is read from a
+         zero-weight probe row placed at s - lookback - 1, then brought next
+         to its second by a re-sort within the same partitioning;
       4. join the per-second rates back to the rows on (service, second).
-    `window` is the direct form (one task per service), kept for tests.
+    Running sums are used because Spark's sliding RANGE frame re-aggregates
+    the frame whenever its lower bound moves, i.e. O(rows x frame).
+    `window` is that direct form (one task per service), kept for tests.
     """
     sec = epoch_seconds("timestamp", df.schema["timestamp"].dataType)
     err = F.col("is_error").cast("int")
@@ -37,27 +43,60 @@ def compute_rolling_error_rate(
         return df.withColumn(
             "rolling_error_rate", pct(F.sum(err).over(w), F.count(F.lit(1)).over(w))
         )
+    if method != "prefix":
+        raise ValueError(f"unknown method {method!r}")
 
     width = max(lookback_seconds, 1)
     per_second = df.groupBy(F.col("service").alias("_svc"), sec.alias("_sec")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(err).alias("_e")
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(err).alias("_e"),
+        F.count(err).alias("_k"),  # seconds whose error flags are all null add no errors
     )
-    bucket = F.floor(F.col("_sec") / width)
-    # A null second (null timestamp) forms one group on its own: no copy.
-    shifts = F.when(F.col("_sec").isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
-    spread = per_second.select("*", F.explode(shifts).alias("_shift")).withColumn(
-        "_bucket", bucket + F.col("_shift")
-    )
-    w = Window.partitionBy("_svc", "_bucket").orderBy("_sec").rangeBetween(-lookback_seconds, 0)
-    rates = (
-        spread.select(
-            "_svc",
-            "_sec",
-            "_shift",
-            pct(F.sum("_e").over(w), F.sum("_n").over(w)).alias("rolling_error_rate"),
+
+    # (bucket shift, is probe): own-bucket source, next-bucket copy, probe.
+    variants = F.when(
+        F.col("_sec").isNull(), F.array(F.struct(F.lit(0).alias("shift"), F.lit(False).alias("probe")))
+    ).otherwise(
+        F.array(
+            F.struct(F.lit(0).alias("shift"), F.lit(False).alias("probe")),
+            F.struct(F.lit(1).alias("shift"), F.lit(False).alias("probe")),
+            F.struct(F.lit(0).alias("shift"), F.lit(True).alias("probe")),
         )
-        .filter(F.col("_shift") == 0)
-        .drop("_shift")
     )
+    v = per_second.select("*", F.explode(variants).alias("_v"))
+    probe = F.col("_v.probe")
+    rows = v.select(
+        "_svc",
+        (F.floor(F.col("_sec") / width) + F.col("_v.shift")).alias("_bucket"),
+        # Position on the time line: a probe sits just before its frame.
+        F.when(probe, F.col("_sec") - lookback_seconds - 1).otherwise(F.col("_sec")).alias("_pos"),
+        "_sec",
+        probe.alias("_probe"),
+        (F.col("_v.shift") == 0).alias("_own"),
+        *[F.when(probe, F.lit(0)).otherwise(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in ("_n", "_e", "_k")],
+    )
+
+    part = Window.partitionBy("_svc", "_bucket")
+    # Sources before probes at equal position: C(t) counts seconds <= t.
+    running = part.orderBy("_pos", "_probe").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = rows.select(
+        "_svc",
+        "_bucket",
+        "_sec",
+        "_probe",
+        "_own",
+        *[F.sum(c).over(running).alias(c) for c in ("_n", "_e", "_k")],
+    ).filter(F.col("_own"))
+
+    # Each second is directly followed by its probe; subtract the probe's sums.
+    pair = part.orderBy("_sec", "_probe")
+    frame = {c: F.col(c) - F.coalesce(F.lead(c).over(pair), F.lit(0)) for c in ("_n", "_e", "_k")}
+    rates = cum.select(
+        "_svc",
+        "_sec",
+        "_probe",
+        pct(F.when(frame["_k"] > 0, frame["_e"]), frame["_n"]).alias("rolling_error_rate"),
+    ).filter(~F.col("_probe")).drop("_probe")
+
     cond = F.col("service").eqNullSafe(F.col("_svc")) & sec.eqNullSafe(F.col("_sec"))
     return df.join(rates, cond, "left").drop("_svc", "_sec")

@@ -1,0 +1,75 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
+
+from logsieve.operators import compute_rolling_error_rate, enrich
+from tests.conftest import log_row, make_logs
+
+T0 = datetime(2024, 1, 15, 9, 0, 0)
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _rates(df):
+    return sorted((r.service, r.timestamp, r.status_code, r.rolling_error_rate) for r in df.collect())
+
+
+class TestRolling:
+    def test_lookback_is_inclusive(self, spark):
+        rows = [
+            log_row(T0, status=500),
+            log_row(T0 + timedelta(seconds=3600), status=200),  # sees the error: 1 of 2
+            log_row(T0 + timedelta(seconds=3601), status=200),  # does not: 0 of 2
+        ]
+        got = _rates(compute_rolling_error_rate(enrich(make_logs(spark, rows))))
+        assert [r[3] for r in got] == [100.0, 50.0, 0.0]
+
+    def test_same_second_peers_share_a_value(self, spark):
+        t = T0 + timedelta(microseconds=250_000)
+        rows = [log_row(T0, status=200), log_row(t, status=500), log_row(T0 + timedelta(milliseconds=900), status=200)]
+        got = {r.rolling_error_rate for r in compute_rolling_error_rate(enrich(make_logs(spark, rows))).collect()}
+        assert got == {33.33}
+
+    def test_services_are_separate(self, spark):
+        rows = [log_row(T0, service="a", status=500), log_row(T0, service="b", status=200)]
+        got = {r.service: r.rolling_error_rate for r in compute_rolling_error_rate(enrich(make_logs(spark, rows))).collect()}
+        assert got == {"a": 100.0, "b": 0.0}
+
+    @pytest.mark.parametrize("lookback", [3600, 60, 1, 0])
+    def test_prefix_equals_window_form_random(self, spark, lookback):
+        rnd = random.Random(lookback)
+        rows = []
+        for _ in range(600):
+            ts = T0 + timedelta(seconds=rnd.randint(0, 4 * 3600), microseconds=rnd.choice([0, 500_000]))
+            rows.append(log_row(ts, service=rnd.choice(["a", "b", None]), status=rnd.choice([200, 200, 404, 500, 503, None])))
+        rows += [log_row(None, service="a", status=500), log_row(None, service="a", status=200)]
+        df = enrich(make_logs(spark, rows))
+        a = compute_rolling_error_rate(df, lookback)
+        b = compute_rolling_error_rate(df, lookback, method="window")
+        assert a.columns == b.columns
+        assert _same(a, b)
+
+    def test_dense_traffic_equals_window_form(self, spark):
+        # Many rows per second across several buckets.
+        rows = [
+            log_row(T0 + timedelta(seconds=i // 7), status=500 if i % 11 == 0 else 200)
+            for i in range(7 * 3 * 120)
+        ]
+        df = enrich(make_logs(spark, rows))
+        assert _same(compute_rolling_error_rate(df, 100), compute_rolling_error_rate(df, 100, method="window"))
+
+    def test_timestamp_ntz_and_pre_epoch(self, spark):
+        rows = [
+            log_row(datetime(1969, 12, 31, 23, 59, 59, 500_000), status=500),
+            log_row(datetime(1970, 1, 1, 0, 0, 0), status=200),
+            log_row(datetime(1970, 1, 1, 1, 0, 0), status=200),
+        ]
+        df = enrich(make_logs(spark, rows).withColumn("timestamp", F.col("timestamp").cast(TimestampNTZType())))
+        a = compute_rolling_error_rate(df)
+        assert _same(a, compute_rolling_error_rate(df, method="window"))
+        assert sorted(r.rolling_error_rate for r in a.collect()) == [0.0, 50.0, 100.0]
