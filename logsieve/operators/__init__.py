@@ -17,7 +17,14 @@ from logsieve.operators.metrics import (
     ip_traffic_summary,
     top_slow_endpoints,
 )
-from logsieve.operators.quality import cache_logs, drop_invalid, quality_report, validate_logs
+from logsieve.operators.quality import (
+    cache_dataframe,
+    cache_logs,
+    drop_invalid,
+    quality_report,
+    validate_logs,
+    validate_schema,
+)
 from logsieve.operators.rolling import compute_rolling_error_rate
 
 __all__ = [
@@ -25,6 +32,7 @@ __all__ = [
     "aggregate_by_service",
     "aggregate_status_distribution",
     "build_anomaly_report",
+    "cache_dataframe",
     "cache_logs",
     "compute_rolling_error_rate",
     "detect_brute_force",
@@ -40,4 +48,5 @@ __all__ = [
     "repartition_by_service",
     "top_slow_endpoints",
     "validate_logs",
+    "validate_schema",
 ]

@@ -149,9 +149,15 @@ def build_anomaly_report(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Row-level report: every row with at least one flag, 8 columns, most
-    flags first, then by time. `ordered=False` skips the global sort."""
+    flags first, then by time. `ordered=False` skips the global sort.
+
+    The remaining columns break ties, so the order is deterministic and a
+    burst of rows sharing one timestamp is spread over several range
+    partitions of the sort instead of landing in one.
+    """
     flagged = flag_rows(detect_high_latency(df, multiplier, max_broadcast_rows=max_broadcast_rows), compact)
     out = flagged.filter(F.col("anomaly_count") > 0).select(*REPORT_COLUMNS)
     if ordered:
-        out = out.orderBy(F.col("anomaly_count").desc(), "timestamp")
+        ties = [c for c in REPORT_COLUMNS if c not in ("anomaly_count", "timestamp")]
+        out = out.orderBy(F.col("anomaly_count").desc(), "timestamp", *ties)
     return out

@@ -76,3 +76,8 @@ def cache_logs(df: DataFrame, name: str | None = "logs") -> DataFrame:
     if name:
         df.createOrReplaceTempView(name)
     return df
+
+
+# Names used by the reference's API, for drop-in use.
+validate_schema = drop_invalid
+cache_dataframe = cache_logs
