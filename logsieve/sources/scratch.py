@@ -16,11 +16,18 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set to a fresh local one only if unset."""
+    """The session's checkpoint folder.
+
+    Only a local-mode session (tests, a laptop) may get a fresh temporary
+    folder when none is configured; on a cluster a machine-local folder would
+    be invisible to the other executors, so that is an error.
+    """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="logsieve-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
         spark.sparkContext.setCheckpointDir(root)

@@ -48,3 +48,12 @@ class TestPipeline:
         run_pipeline(spark, sample_df, out)
         report = spark.read.parquet(os.path.join(out, "report.parquet"))
         assert report.count() == 4
+
+
+def test_scratch_paths_live_under_checkpoint_dir(spark):
+    from logsieve.sources import checkpoint_root, scratch_path
+
+    root = checkpoint_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a.startswith(root + "/") and a != b
