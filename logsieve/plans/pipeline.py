@@ -89,7 +89,7 @@ def run_pipeline(
     thresholds: Thresholds = Thresholds(),
     *,
     stage: str = "table",
-    max_parallel_jobs: int = 4,
+    max_parallel_jobs: int | None = None,
 ) -> PipelineResult:
     """Run everything and write the nine tables to `{output_dir}/{name}.parquet`.
 

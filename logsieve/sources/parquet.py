@@ -17,14 +17,14 @@ def save_results(
     output_dir: str,
     *,
     partition_by: Mapping[str, list[str]] | None = None,
-    max_parallel_jobs: int = 4,
+    max_parallel_jobs: int | None = None,
 ) -> dict[str, str]:
     """Write each DataFrame to `{output_dir}/{name}.parquet` (overwrite).
 
     The Spark writer creates the folders, so any Hadoop URI works. Tables are
-    submitted as concurrent jobs so small result stages overlap instead of
-    running one after the other; `partition_by` names per-table partition
-    columns (e.g. {"null_users": ["date"]}).
+    submitted as concurrent jobs (all at once unless `max_parallel_jobs` says
+    otherwise) so the stages of one table fill the slots another leaves idle;
+    `partition_by` names per-table partition columns (e.g. {"null_users": ["date"]}).
     """
     partition_by = partition_by or {}
     paths = {name: table_path(output_dir, name) for name in results}
@@ -35,7 +35,7 @@ def save_results(
             writer = writer.partitionBy(*partition_by[name])
         writer.parquet(paths[name])
 
-    workers = max(1, min(max_parallel_jobs, len(paths)))
+    workers = max(1, min(max_parallel_jobs or len(paths), len(paths)))
     with ThreadPoolExecutor(max_workers=workers) as pool:
         for f in [pool.submit(write, n) for n in paths]:
             f.result()

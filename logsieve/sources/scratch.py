@@ -28,9 +28,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="logsieve-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-        spark.sparkContext.setCheckpointDir(root)
+        # The conf is fixed once the context runs; the context's own
+        # checkpoint folder can still be set, and is what later calls read.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="logsieve-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

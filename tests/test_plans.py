@@ -65,3 +65,32 @@ def test_rolling_window_not_partitioned_by_service_alone(spark):
     plan = _plan(compute_rolling_error_rate(_clean(spark)))
     assert "rangebetween" not in plan.lower()
     assert "_bucket" in plan
+
+
+def test_operators_start_no_jobs_when_built(spark):
+    """Building the lazy operators runs nothing; only the broadcast size
+    check of the latency statistics is an action."""
+    from logsieve.operators import (
+        aggregate_by_hour,
+        aggregate_status_distribution,
+        detect_brute_force,
+        detect_error_spikes,
+        detect_null_user_ids,
+        quality_report,
+    )
+
+    tracker = spark.sparkContext.statusTracker()
+    df = _clean(spark)  # reading the source's schema may run a job; operators must not
+    spark.sparkContext.setJobGroup("build-only", "operator construction")
+    try:
+        for op in (
+            aggregate_by_service, aggregate_by_hour, aggregate_status_distribution, top_slow_endpoints,
+            ip_traffic_summary, compute_rolling_error_rate, detect_error_spikes, detect_brute_force,
+            detect_null_user_ids, quality_report,
+        ):
+            op(df)
+        assert tracker.getJobIdsForGroup("build-only") == []
+        detect_high_latency(df)
+        assert len(tracker.getJobIdsForGroup("build-only")) >= 1
+    finally:
+        spark.sparkContext.setJobGroup("", "")
