@@ -34,12 +34,15 @@ from logsieve.operators import (
     quality_report,
     top_slow_endpoints,
 )
-from logsieve.plans import run_pipeline
+from logsieve.plans import load_logs, run_pipeline
 from logsieve.plans.pipeline import ANOMALY_TABLES, PROCESSING_TABLES
 from logsieve.schema import LOG_COLUMNS
-from logsieve.sources import logs_from_events, read_logs, scratch_path, write_logs_csv
+from logsieve.operators import repartition_by_service
+from logsieve.sources import logs_from_events, scratch_path, write_logs_csv
+from logsieve.streaming import prepare_stream, read_log_stream, stream_tables
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+STREAM_WATERMARK = "10 minutes"
 
 
 def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +63,31 @@ def _flat_window(df: DataFrame) -> DataFrame:
 def _csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv-ingest")
     write_logs_csv(_logs(spark, sf_dir), path)
-    return drop_invalid(read_logs(spark, path, ntz=True))
+    return load_logs(spark, path, view_name=None, cache=False, ntz=True)
+
+
+def _stream_error_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replay the logs as CSV files through the streaming detector and read
+    back what it emitted: the windows its watermark has closed."""
+    src = scratch_path(spark, "stream-src")
+    write_logs_csv(_logs(spark, sf_dir), src)
+    stream = prepare_stream(read_log_stream(spark, src), STREAM_WATERMARK)
+    query = (
+        stream_tables(stream)["error_spikes"]
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", (out := scratch_path(spark, "stream-out")))
+        .option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    # Wall-clock values again, as in the other queries.
+    return _flat_window(spark.read.parquet(out)).withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    )
 
 
 def _pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +127,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "brute_force": lambda s, d: _flat_window(detect_brute_force(_clean(s, d))),
         "anomaly_report": lambda s, d: build_anomaly_report(_clean(s, d)),
         "csv_ingest": _csv_ingest,
+        "salted_service_kpis": lambda s, d: aggregate_by_service(
+            repartition_by_service(_clean(s, d), 16, salt_buckets=4)
+        ),
+        "stream_error_spikes": _stream_error_spikes,
         "pipeline_report": _pipeline_report,
     }
 
@@ -249,6 +280,11 @@ window w as (partition by service order by cast(floor(epoch(timestamp)) as bigin
     "brute_force": _BRUTE_FORCE,
     "anomaly_report": _REPORT,
     "csv_ingest": f"select {', '.join(LOG_COLUMNS)} from clean",
+    "salted_service_kpis": _SERVICE_KPIS,
+    "stream_error_spikes": f"""
+select * from ({_ERROR_SPIKES}) s
+where window_end <= (select max(timestamp) from clean) - interval 10 minute
+""",
     "pipeline_report": f"""
 select 'by_service' as table_name, count(*)::bigint as "rows" from ({_SERVICE_KPIS}) t
 union all select 'by_hour', count(*) from (select distinct date, hour, service from clean) t

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import TimestampNTZType
 
 from logsieve.operators import detect_brute_force, detect_error_spikes, detect_null_user_ids, drop_invalid, enrich
 from logsieve.schema import LOG_SCHEMA, TIMESTAMP_FORMAT, Thresholds
@@ -30,20 +31,28 @@ def read_log_stream(
     path: str,
     *,
     timestamp_format: str = TIMESTAMP_FORMAT,
-    ntz: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Header CSV files arriving in `path`, with the declared schema."""
+    """Header CSV files arriving in `path`, with the declared schema.
+
+    Timestamps are TIMESTAMP (an instant): a watermark needs that type.
+    """
     reader = spark.readStream.schema(LOG_SCHEMA).option("header", "true").option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(path)
-    return df.withColumn("timestamp", parse_timestamp(df["timestamp"], timestamp_format, ntz))
+    return df.withColumn("timestamp", parse_timestamp(df["timestamp"], timestamp_format))
 
 
 def prepare_stream(stream: DataFrame, watermark: str = "10 minutes", slow_ms: int = Thresholds.slow_ms) -> DataFrame:
     """Drop invalid rows, add derived columns and declare how late rows may
-    arrive. Rows later than the watermark are not counted."""
+    arrive. Rows later than the watermark are not counted.
+
+    A (key, window) row is emitted, final, once window.end <= latest event
+    time seen - `watermark`.
+    """
+    if isinstance(stream.schema["timestamp"].dataType, TimestampNTZType):
+        raise TypeError("a watermark needs TIMESTAMP event times; cast TIMESTAMP_NTZ with .cast('timestamp')")
     return enrich(drop_invalid(stream), slow_ms).withWatermark("timestamp", watermark)
 
 

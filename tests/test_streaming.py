@@ -38,9 +38,9 @@ def test_streaming_detectors_match_batch_for_closed_windows(spark, tmp_dir):
         assert q.exception() is None
 
     clean = enrich(drop_invalid(logs))
-    # The watermark trails the latest event by 5 minutes; windows ending
-    # before it are final and must equal the batch result exactly.
-    horizon = T0 + timedelta(minutes=40) - timedelta(minutes=5)
+    # A window is emitted once its end <= latest event - 5 minutes; those
+    # windows are final and must equal the batch result exactly.
+    horizon = clean.agg(F.max("timestamp")).first()[0] - timedelta(minutes=5)
     batch = {
         "error_spikes": detect_error_spikes(clean, ordered=False),
         "brute_force": detect_brute_force(clean, ordered=False),
@@ -54,3 +54,12 @@ def test_streaming_detectors_match_batch_for_closed_windows(spark, tmp_dir):
 
     nulls = spark.read.parquet(os.path.join(out, "null_users.parquet"))
     assert nulls.count() == detect_null_user_ids(clean).count() == 40
+
+
+def test_ntz_stream_is_rejected(spark):
+    import pytest
+    from pyspark.sql.types import TimestampNTZType
+
+    df = spark.readStream.format("rate").load().select(F.col("timestamp").cast(TimestampNTZType()).alias("timestamp"))
+    with pytest.raises(TypeError):
+        prepare_stream(df)
