@@ -1,6 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from logsieve.operators import enrich, repartition_by_service
 from tests.conftest import log_row, make_logs

@@ -1,7 +1,6 @@
 import os
 
 from pyspark.sql import Observation
-from pyspark.sql import functions as F
 
 from logsieve.operators import drop_invalid, quality_report, validate_logs
 from logsieve.plans import load_logs
