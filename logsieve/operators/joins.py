@@ -30,3 +30,25 @@ def attach_small(
         return large.join(F.broadcast(small), condition, how)
     small.unpersist()
     return large.join(small, condition, how)
+
+
+def restrict_to_keys(
+    df: DataFrame,
+    keys_df: DataFrame,
+    keys: list[str],
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    known_rows: int | None = None,
+) -> DataFrame:
+    """Rows of `df` whose `keys` (null-safe) appear in `keys_df`.
+
+    `known_rows` is a bound on `keys_df`'s size known from the plan (e.g. the
+    n of a top-n); within `max_broadcast_rows` the keys are broadcast and the
+    filter runs map-side.
+    """
+    renamed = keys_df.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    if known_rows is not None and known_rows <= max_broadcast_rows:
+        renamed = F.broadcast(renamed)
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return df.join(renamed, cond, "left_semi")

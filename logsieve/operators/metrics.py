@@ -12,12 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsieve.functions import pct
+from logsieve.operators.joins import restrict_to_keys
 from logsieve.schema import TOP_IPS, TOP_SLOW_ENDPOINTS
 
 # Spark's default accuracy for percentile_approx (relative rank error 1/10000).
 PERCENTILE_ACCURACY = 10000
-# Largest top-n whose keys are broadcast for the second step.
-MAX_TOP_BROADCAST = 100_000
 
 
 def _errors() -> Column:
@@ -76,42 +75,51 @@ def top_slow_endpoints(
         .orderBy(*order)
         .limit(n)
     )
-    top_keys = top.select(*[F.col(k).alias(f"_top_{k}") for k in keys])
-    if n <= MAX_TOP_BROADCAST:
-        top_keys = F.broadcast(top_keys)
-    match = [F.col(k).eqNullSafe(F.col(f"_top_{k}")) for k in keys]
-    p99 = (
-        df.join(top_keys, match[0] & match[1], "left_semi")
-        .groupBy(*[F.col(k).alias(f"_p_{k}") for k in keys])
-        .agg(F.percentile_approx("response_time_ms", 0.99, accuracy).alias("p99_ms"))
-    )
-    back = [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys]
-    return (
-        top.join(p99, back[0] & back[1], "left")
-        .select("endpoint", "service", "avg_ms", "p99_ms", "calls")
-        .orderBy(*order)
+    p99 = restrict_to_keys(df, top, keys, known_rows=n).groupBy(*keys).agg(
+        F.percentile_approx("response_time_ms", 0.99, accuracy).alias("p99_ms")
     )
+    return _attach(top, p99, keys).select("endpoint", "service", "avg_ms", "p99_ms", "calls").orderBy(*order)
+
+
+def _attach(top: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
+    """Left-join per-key columns computed for the top rows back onto them."""
+    renamed = extra.select(*[F.col(c).alias(f"_x_{c}") if c in keys else F.col(c) for c in extra.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_x_{k}"))
+    return top.join(renamed, cond, "left").drop(*[f"_x_{k}" for k in keys])
 
 
 def ip_traffic_summary(df: DataFrame, top_n: int = TOP_IPS, approx_users: bool = False) -> DataFrame:
     """The top_n source IPs by request count, with errors, distinct users and
     error %. Ties are broken by IP.
 
-    The distinct user count is exact by default. Spark plans it in two steps:
-    partial aggregation on (ip, user_id), then on ip, so a heavy IP with many
-    users still reaches the final shuffle as one row per map task. With
+    The ranking needs only counts, so IPs are ranked first (one compact hash
+    aggregation and a per-partition top-n merge). Distinct users are then
+    counted only over the rows of the top_n IPs (semi-join on broadcast
+    keys), not for every IP. The count is exact by default; Spark plans it
+    as partial aggregation on (ip, user_id), then on ip, so a heavy IP with
+    many users reaches the last shuffle as one row per map task. With
     `approx_users=True` it is a HyperLogLog++ estimate (about 5 % relative
-    error): one aggregation step, fixed-size buffers.
+    error) with fixed-size buffers.
     """
-    users = F.approx_count_distinct("user_id") if approx_users else F.countDistinct("user_id")
-    return (
+    order = [F.col("total_requests").desc(), "ip_address"]
+    top = (
         df.groupBy("ip_address")
         .agg(
             F.count(F.lit(1)).alias("total_requests"),
             _errors().alias("errors"),
-            users.alias("unique_users"),
             pct(_errors(), F.count(F.lit(1))).alias("error_rate_pct"),
         )
-        .orderBy(F.col("total_requests").desc(), "ip_address")
+        .orderBy(*order)
         .limit(top_n)
     )
+    users_fn = F.approx_count_distinct if approx_users else F.countDistinct
+    users = restrict_to_keys(df, top, ["ip_address"], known_rows=top_n).groupBy("ip_address").agg(
+        users_fn("user_id").alias("unique_users")
+    )
+    return (
+        _attach(top, users, ["ip_address"])
+        .select("ip_address", "total_requests", "errors", "unique_users", "error_rate_pct")
+        .orderBy(*order)
+    )
