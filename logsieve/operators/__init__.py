@@ -25,6 +25,7 @@ from logsieve.operators.quality import (
     validate_logs,
     validate_schema,
 )
+from logsieve.operators.percentiles import exact_percentiles
 from logsieve.operators.rolling import compute_rolling_error_rate
 
 __all__ = [
@@ -41,6 +42,7 @@ __all__ = [
     "detect_null_user_ids",
     "drop_invalid",
     "enrich",
+    "exact_percentiles",
     "flag_rows",
     "ip_traffic_summary",
     "latency_stats",

@@ -52,3 +52,12 @@ def restrict_to_keys(
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
     return df.join(renamed, cond, "left_semi")
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on equal `keys` (null-safe), keeping the left's key columns."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])

@@ -3,7 +3,9 @@ per-IP traffic.
 
 All are hash aggregations; Spark runs a partial aggregate before the shuffle,
 so the shuffle carries one small buffer per key and map task however skewed a
-key is. `percentile_approx` keeps a bounded mergeable sketch per key.
+key is. Latency percentiles are exact, from value histograms (see
+`logsieve.operators.percentiles`); `percentiles="approx"` gives Spark's
+`percentile_approx` instead.
 """
 
 from __future__ import annotations
@@ -12,11 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsieve.functions import pct
-from logsieve.operators.joins import restrict_to_keys
+from logsieve.operators.joins import join_on_keys, restrict_to_keys
+from logsieve.operators.percentiles import COUNT, exact_percentiles, percentile_columns, value_histogram
 from logsieve.schema import TOP_IPS, TOP_SLOW_ENDPOINTS
 
 # Spark's default accuracy for percentile_approx (relative rank error 1/10000).
 PERCENTILE_ACCURACY = 10000
+SERVICE_PERCENTILES = {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99}
 
 
 def _errors() -> Column:
@@ -24,18 +28,42 @@ def _errors() -> Column:
 
 
 def aggregate_by_service(
-    df: DataFrame, ordered: bool = True, accuracy: int = PERCENTILE_ACCURACY
+    df: DataFrame,
+    ordered: bool = True,
+    *,
+    percentiles: str = "exact",
+    accuracy: int = PERCENTILE_ACCURACY,
 ) -> DataFrame:
-    """Per (service, date): volume, errors, error %, p50/p95/p99 latency, bytes."""
-    out = df.groupBy("service", "date").agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        _errors().alias("error_count"),
-        pct(_errors(), F.count(F.lit(1))).alias("error_rate_pct"),
-        F.percentile_approx("response_time_ms", 0.50, accuracy).alias("p50_ms"),
-        F.percentile_approx("response_time_ms", 0.95, accuracy).alias("p95_ms"),
-        F.percentile_approx("response_time_ms", 0.99, accuracy).alias("p99_ms"),
-        F.sum("bytes_sent").alias("total_bytes_sent"),
-    )
+    """Per (service, date): volume, errors, error %, p50/p95/p99 latency, bytes.
+
+    `percentiles="exact"` (default) reads everything from one histogram of
+    (service, date, latency): counts, errors and bytes are summed per bucket
+    and rolled up to the group, and the percentiles are picked from running
+    counts. One scan, no per-group sketches. `percentiles="approx"` uses
+    `percentile_approx` with `accuracy`.
+    """
+    keys = ["service", "date"]
+    if percentiles == "approx":
+        out = df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("total_requests"),
+            _errors().alias("error_count"),
+            pct(_errors(), F.count(F.lit(1))).alias("error_rate_pct"),
+            *[F.percentile_approx("response_time_ms", p, accuracy).alias(n) for n, p in SERVICE_PERCENTILES.items()],
+            F.sum("bytes_sent").alias("total_bytes_sent"),
+        )
+    elif percentiles == "exact":
+        hist = value_histogram(df, keys, "response_time_ms", _errors().alias("_e"), F.sum("bytes_sent").alias("_b"))
+        ranked, picks = percentile_columns(hist, keys, SERVICE_PERCENTILES)
+        total, errors = F.sum(COUNT), F.sum("_e")
+        out = ranked.groupBy(*keys).agg(
+            total.alias("total_requests"),
+            errors.alias("error_count"),
+            pct(errors, total).alias("error_rate_pct"),
+            *picks,
+            F.sum("_b").alias("total_bytes_sent"),
+        )
+    else:
+        raise ValueError(f"unknown percentiles {percentiles!r}")
     return out.orderBy("date", "service") if ordered else out
 
 
@@ -55,7 +83,11 @@ def aggregate_status_distribution(df: DataFrame, ordered: bool = True) -> DataFr
 
 
 def top_slow_endpoints(
-    df: DataFrame, n: int = TOP_SLOW_ENDPOINTS, accuracy: int = PERCENTILE_ACCURACY
+    df: DataFrame,
+    n: int = TOP_SLOW_ENDPOINTS,
+    *,
+    percentiles: str = "exact",
+    accuracy: int = PERCENTILE_ACCURACY,
 ) -> DataFrame:
     """The n (endpoint, service) pairs with the highest mean latency, with
     their p99 latency and call count.
@@ -64,7 +96,7 @@ def top_slow_endpoints(
     deterministic. Two steps keep this cheap when endpoints are many (paths
     with ids in them): mean and count for every pair, top n by a
     per-partition top-n merge (TakeOrderedAndProject, never a full sort);
-    then the p99 sketch only over the rows of those n pairs, selected by a
+    then the p99 only over the rows of those n pairs, selected by a
     semi-join against the n keys (broadcast while n is small).
     """
     keys = ["endpoint", "service"]
@@ -75,19 +107,14 @@ def top_slow_endpoints(
         .orderBy(*order)
         .limit(n)
     )
-    p99 = restrict_to_keys(df, top, keys, known_rows=n).groupBy(*keys).agg(
-        F.percentile_approx("response_time_ms", 0.99, accuracy).alias("p99_ms")
-    )
-    return _attach(top, p99, keys).select("endpoint", "service", "avg_ms", "p99_ms", "calls").orderBy(*order)
-
-
-def _attach(top: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
-    """Left-join per-key columns computed for the top rows back onto them."""
-    renamed = extra.select(*[F.col(c).alias(f"_x_{c}") if c in keys else F.col(c) for c in extra.columns])
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_x_{k}"))
-    return top.join(renamed, cond, "left").drop(*[f"_x_{k}" for k in keys])
+    rows = restrict_to_keys(df, top, keys, known_rows=n)
+    if percentiles == "exact":
+        p99 = exact_percentiles(rows, keys, "response_time_ms", {"p99_ms": 0.99})
+    elif percentiles == "approx":
+        p99 = rows.groupBy(*keys).agg(F.percentile_approx("response_time_ms", 0.99, accuracy).alias("p99_ms"))
+    else:
+        raise ValueError(f"unknown percentiles {percentiles!r}")
+    return join_on_keys(top, p99, keys).select("endpoint", "service", "avg_ms", "p99_ms", "calls").orderBy(*order)
 
 
 def ip_traffic_summary(df: DataFrame, top_n: int = TOP_IPS, approx_users: bool = False) -> DataFrame:
@@ -119,7 +146,7 @@ def ip_traffic_summary(df: DataFrame, top_n: int = TOP_IPS, approx_users: bool =
         users_fn("user_id").alias("unique_users")
     )
     return (
-        _attach(top, users, ["ip_address"])
+        join_on_keys(top, users, ["ip_address"])
         .select("ip_address", "total_requests", "errors", "unique_users", "error_rate_pct")
         .orderBy(*order)
     )

@@ -96,7 +96,48 @@ class TestOptions:
         approx = ip_traffic_summary(enrich(make_logs(spark, rows)), approx_users=True).first().unique_users
         assert exact == 500 and abs(approx - 500) <= 50
 
-    def test_percentile_accuracy_argument(self, sample_df):
-        a = aggregate_by_service(enrich(sample_df), accuracy=100).collect()
+    def test_approx_percentiles_equal_exact_on_small_groups(self, sample_df):
+        a = aggregate_by_service(enrich(sample_df), percentiles="approx", accuracy=100).collect()
         b = aggregate_by_service(enrich(sample_df)).collect()
-        assert a == b  # tiny groups are exact at any accuracy
+        assert a == b
+        c = top_slow_endpoints(enrich(sample_df), 3, percentiles="approx").collect()
+        assert c == top_slow_endpoints(enrich(sample_df), 3).collect()
+
+
+class TestExactPercentiles:
+    def test_against_brute_force(self, spark):
+        import math
+        import random
+
+        from logsieve.operators.percentiles import exact_percentiles
+
+        rnd = random.Random(7)
+        t = datetime(2024, 1, 1)
+        rows, values = [], {"a": [], "b": [], None: []}
+        for _ in range(3000):
+            svc = rnd.choice(["a", "b", None])
+            rt = rnd.choice([None] + [rnd.randint(0, 300)] * 9)
+            rows.append(log_row(t, service=svc, rt=rt))
+            if rt is not None:
+                values[svc].append(rt)
+        got = {
+            r.service: (r.p50, r.p95, r.p99)
+            for r in exact_percentiles(make_logs(spark, rows), ["service"], "response_time_ms",
+                                       {"p50": 0.5, "p95": 0.95, "p99": 0.99}).collect()
+        }
+        for svc, vals in values.items():
+            vals.sort()
+            expect = tuple(vals[max(math.ceil(p * len(vals)), 1) - 1] for p in (0.5, 0.95, 0.99))
+            assert got[svc] == expect
+
+    def test_all_null_group_gives_null(self, spark):
+        t = datetime(2024, 1, 1)
+        rows = [log_row(t, service="a", rt=None), log_row(t, service="b", rt=5)]
+        got = {r.service: r.p50_ms for r in aggregate_by_service(enrich(make_logs(spark, rows))).collect()}
+        assert got == {"a": None, "b": 5}
+
+    def test_by_service_plan_has_no_sketches(self, sample_df):
+        from tests.conftest import explain
+
+        plan = explain(aggregate_by_service(enrich(sample_df)))
+        assert "percentile_approx" not in plan and "ObjectHashAggregate" not in plan
