@@ -100,3 +100,9 @@ class TestQuality:
     def test_null_check_pushed_to_scan(self, spark, tmp_dir):
         plan = explain(drop_invalid(read_logs(spark, _write_csv(tmp_dir))))
         assert "PushedFilters: [IsNotNull(log_level), IsNotNull(service), IsNotNull(status_code)]" in plan
+
+
+def test_custom_timestamp_format(spark, tmp_dir):
+    line = "15/01/2024 09:00:00,INFO,auth-api,GET,/api/x,200,120,1024,1001,10.0.0.1,Mozilla/5.0,NONE"
+    df = read_logs(spark, _write_csv(tmp_dir, "eu.csv", [line]), timestamp_format="dd/MM/yyyy HH:mm:ss")
+    assert str(df.first().timestamp) == "2024-01-15 09:00:00"
