@@ -91,3 +91,15 @@ def test_thresholds_reach_the_detectors(sample_df):
     assert not any("SLOW" in f for f in flags) and any("HIGH_LATENCY" in f for f in flags)
     proc = run_processing(sample_df, loose)
     assert proc["slow_endpoints"].count() == 2 and proc["ip_summary"].count() == 1
+
+
+def test_empty_input(spark, tmp_dir):
+    from logsieve.operators import compute_rolling_error_rate, enrich
+    from tests.conftest import make_logs
+
+    empty = make_logs(spark, [])
+    out = os.path.join(tmp_dir, "out")
+    result = run_pipeline(spark, empty, out)
+    assert set(_counts(spark, out).values()) == {0}
+    assert result.quality["total_rows"] == 0
+    assert compute_rolling_error_rate(enrich(empty)).count() == 0
