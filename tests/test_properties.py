@@ -53,3 +53,49 @@ def test_rolling_prefix_equals_window(spark, rows, lookback):
 def test_high_latency_join_equals_window(spark, rows, multiplier):
     df = _logs(spark, rows)
     assert _same(detect_high_latency(df, multiplier), detect_high_latency(df, multiplier, method="window"))
+
+
+def _half_up(x, digits):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    # Spark rounds the double's shortest decimal form half-up.
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
+window_rows = st.lists(
+    st.tuples(
+        st.integers(0, 3 * 600),  # seconds: a few 5-minute windows
+        st.sampled_from(["a", "b"]),
+        st.sampled_from(["1.1.1.1", "2.2.2.2"]),
+        st.sampled_from([200, 401, 403, 500, 503]),
+    ),
+    min_size=1,
+    max_size=120,
+)
+
+
+@SETTINGS
+@given(rows=window_rows, threshold=st.sampled_from([0, 10, 50, 100]), min_req=st.sampled_from([1, 5, 20]))
+def test_window_detectors_against_python(spark, rows, threshold, min_req):
+    from collections import defaultdict
+
+    from logsieve.operators import detect_brute_force, detect_error_spikes
+
+    df = enrich(make_logs(spark, [log_row(T0 + timedelta(seconds=s), service=svc, ip=ip, status=code)
+                                  for s, svc, ip, code in rows]))
+    by_service, by_ip = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    for s, svc, ip, code in rows:
+        w = s // 300
+        by_service[(svc, w)][0] += 1
+        by_service[(svc, w)][1] += code >= 500
+        by_ip[(ip, w)][0] += 1
+        by_ip[(ip, w)][1] += code in (401, 403)
+    spikes = {k for k, (n, e) in by_service.items() if _half_up(e / n * 100, 2) >= threshold}
+    brute = {k for k, (n, f) in by_ip.items() if n >= min_req and _half_up(f / n, 3) >= 0.8}
+
+    def key(r, col):
+        return (r[col], int((r.window.start - T0).total_seconds()) // 300)
+
+    got_spikes = {key(r, "service") for r in detect_error_spikes(df, threshold, ordered=False).collect()}
+    got_brute = {key(r, "ip_address") for r in detect_brute_force(df, min_req, ordered=False).collect()}
+    assert got_spikes == spikes and got_brute == brute
