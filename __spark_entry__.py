@@ -66,28 +66,32 @@ def _csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_logs(spark, path, view_name=None, cache=False, ntz=True)
 
 
-def _stream_error_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replay the logs as CSV files through the streaming detector and read
-    back what it emitted: the windows its watermark has closed."""
-    src = scratch_path(spark, "stream-src")
-    write_logs_csv(_logs(spark, sf_dir), src)
-    stream = prepare_stream(read_log_stream(spark, src), STREAM_WATERMARK)
-    query = (
-        stream_tables(stream)["error_spikes"]
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", (out := scratch_path(spark, "stream-out")))
-        .option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    # Wall-clock values again, as in the other queries.
-    return _flat_window(spark.read.parquet(out)).withColumns(
-        {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-    )
+def _streamed(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Replay the logs as CSV files through the streaming detectors and read
+    back what `table` emitted: the windows its watermark has closed."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = scratch_path(spark, "stream-src")
+        write_logs_csv(_logs(spark, sf_dir), src)
+        stream = prepare_stream(read_log_stream(spark, src), STREAM_WATERMARK)
+        query = (
+            stream_tables(stream)[table]
+            .writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", (out := scratch_path(spark, "stream-out")))
+            .option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+        # Wall-clock values again, as in the other queries.
+        return _flat_window(spark.read.parquet(out)).withColumns(
+            {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+        )
+
+    return run
 
 
 def _pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +134,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "salted_service_kpis": lambda s, d: aggregate_by_service(
             repartition_by_service(_clean(s, d), 16, salt_buckets=4)
         ),
-        "stream_error_spikes": _stream_error_spikes,
+        "stream_error_spikes": _streamed("error_spikes"),
+        "stream_brute_force": _streamed("brute_force"),
         "pipeline_report": _pipeline_report,
     }
 
@@ -284,6 +289,10 @@ window w as (partition by service order by cast(floor(epoch(timestamp)) as bigin
     "stream_error_spikes": f"""
 select * from ({_ERROR_SPIKES}) s
 where window_end <= (select max(timestamp) from clean) - interval 10 minute
+""",
+    "stream_brute_force": f"""
+select * from ({_BRUTE_FORCE}) s
+where window_end <= (select max(timestamp) from clean) - interval 10 minute
 """,
     "pipeline_report": f"""
 select 'by_service' as table_name, count(*)::bigint as "rows" from ({_SERVICE_KPIS}) t
