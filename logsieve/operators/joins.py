@@ -4,10 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DateType,
+    DecimalType,
+    FloatType,
+    IntegerType,
+    MapType,
+    ShortType,
+    StringType,
+    StructType,
+)
 
-# Broadcast only below this many rows: a per-key stats row is a key plus a few
-# numbers, so this caps the broadcast at a few tens of MB.
+# Broadcast only within both bounds, checked on the materialised small side.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+_FIXED_WIDTH = {ByteType: 1, BooleanType: 1, ShortType: 2, IntegerType: 4, FloatType: 4, DateType: 4, DecimalType: 16}
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: actual length of strings and binaries, the
+    JSON length of nested values, a fixed width (8 unless listed) otherwise."""
+    total = F.lit(0)
+    for field in df.schema.fields:
+        c, t = F.col(field.name), field.dataType
+        if isinstance(t, (StringType, BinaryType)):
+            size = F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(t, (ArrayType, MapType, StructType)):
+            size = F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+        else:
+            size = F.lit(_FIXED_WIDTH.get(type(t), 8))
+        total = total + size
+    return total
 
 
 def attach_small(
@@ -16,17 +49,19 @@ def attach_small(
     condition: Column,
     how: str = "left",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join `small` (e.g. per-service statistics) onto `large`.
 
-    The small side is materialised once and its row count checked: within the
-    bound it is broadcast, so the large side is joined map-side with no
-    shuffle. Beyond it the join falls back to a shuffle join, where AQE's skew
-    handling splits any partition swollen by a heavy key. The check is one
-    small job; its cached result is what the join then reads.
+    The small side is materialised once and measured in the same job: row
+    count and value bytes. Within both bounds it is broadcast, so the large
+    side is joined map-side with no shuffle. Beyond them the join falls back
+    to a shuffle join, where AQE's skew handling splits any partition
+    swollen by a heavy key. The join then reads the cached small side.
     """
     small = small.persist()
-    if small.count() <= max_broadcast_rows:
+    rows, size = small.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(small)), F.lit(0))).first()
+    if rows <= max_broadcast_rows and size <= max_broadcast_bytes:
         return large.join(F.broadcast(small), condition, how)
     small.unpersist()
     return large.join(small, condition, how)
