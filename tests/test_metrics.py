@@ -141,3 +141,10 @@ class TestExactPercentiles:
 
         plan = explain(aggregate_by_service(enrich(sample_df)))
         assert "percentile_approx" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_null_endpoint_keeps_its_p99(spark):
+    t = datetime(2024, 1, 1)
+    rows = [log_row(t, endpoint=None, rt=r) for r in (900, 1000, 1100)] + [log_row(t, endpoint="/fast", rt=10)]
+    got = {r.endpoint: (r.avg_ms, r.p99_ms, r.calls) for r in top_slow_endpoints(enrich(make_logs(spark, rows))).collect()}
+    assert got == {None: (1000.0, 1100, 3), "/fast": (10.0, 10, 1)}
