@@ -106,6 +106,7 @@ def run_pipeline(
     *,
     stage: str = "table",
     max_parallel_jobs: int | None = None,
+    partition_by: dict[str, list[str]] | None = None,
 ) -> PipelineResult:
     """Run everything and write the nine tables to `{output_dir}/{name}.parquet`.
 
@@ -118,6 +119,8 @@ def run_pipeline(
       - stage="cache": persisted in executor memory/disk.
       - stage="none": every table re-reads the source.
     The quality numbers are observed during that single first pass.
+    `partition_by` names output partition columns per table, e.g.
+    {"null_users": ["date"]} for date-pruned reads later.
     """
     obs = Observation("quality")
     raw = read_logs(spark, source) if not isinstance(source, DataFrame) else source
@@ -140,7 +143,7 @@ def run_pipeline(
         **anomaly_tables(clean, thresholds),
         **processing_tables(clean, thresholds),
     }
-    paths = save_results(results, output_dir, max_parallel_jobs=max_parallel_jobs)
+    paths = save_results(results, output_dir, partition_by=partition_by, max_parallel_jobs=max_parallel_jobs)
     quality = dict(obs.get) if stage != "none" else {}
     if stage == "cache":
         clean.unpersist()

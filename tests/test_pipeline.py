@@ -103,3 +103,10 @@ def test_empty_input(spark, tmp_dir):
     assert set(_counts(spark, out).values()) == {0}
     assert result.quality["total_rows"] == 0
     assert compute_rolling_error_rate(enrich(empty)).count() == 0
+
+
+def test_pipeline_partitioned_output(spark, sample_df, tmp_dir):
+    out = os.path.join(tmp_dir, "out")
+    result = run_pipeline(spark, sample_df, out, stage="cache", partition_by={"null_users": ["date"], "by_hour": ["date"]})
+    assert os.path.isdir(os.path.join(result.paths["null_users"], "date=2024-01-15"))
+    assert spark.read.parquet(result.paths["by_hour"]).count() == 4
