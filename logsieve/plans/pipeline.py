@@ -107,6 +107,7 @@ def run_pipeline(
     stage: str = "table",
     max_parallel_jobs: int | None = None,
     partition_by: dict[str, list[str]] | None = None,
+    stage_dir: str | None = None,
 ) -> PipelineResult:
     """Run everything and write the nine tables to `{output_dir}/{name}.parquet`.
 
@@ -119,6 +120,8 @@ def run_pipeline(
       - stage="cache": persisted in executor memory/disk.
       - stage="none": every table re-reads the source.
     The quality numbers are observed during that single first pass.
+    `stage_dir` puts the staged table somewhere of the caller's choosing
+    (overwritten), e.g. to keep it as the cleaned log table.
     `partition_by` names output partition columns per table, e.g.
     {"null_users": ["date"]} for date-pruned reads later.
     """
@@ -128,7 +131,7 @@ def run_pipeline(
 
     staged_at = None
     if stage == "table":
-        staged_at = scratch_path(spark, "staged-logs")
+        staged_at = stage_dir or scratch_path(spark, "staged-logs")
         clean.write.mode("overwrite").parquet(staged_at)
         clean = spark.read.parquet(staged_at)
     elif stage == "cache":

@@ -110,3 +110,11 @@ def test_pipeline_partitioned_output(spark, sample_df, tmp_dir):
     result = run_pipeline(spark, sample_df, out, stage="cache", partition_by={"null_users": ["date"], "by_hour": ["date"]})
     assert os.path.isdir(os.path.join(result.paths["null_users"], "date=2024-01-15"))
     assert spark.read.parquet(result.paths["by_hour"]).count() == 4
+
+
+def test_stage_dir_keeps_clean_table(spark, sample_df, tmp_dir):
+    stage = os.path.join(tmp_dir, "clean_logs")
+    result = run_pipeline(spark, sample_df, os.path.join(tmp_dir, "out"), stage_dir=stage)
+    assert result.staged_at == stage
+    clean = spark.read.parquet(stage)
+    assert clean.count() == 8 and "status_class" in clean.columns
