@@ -41,6 +41,16 @@ from logsieve.operators import repartition_by_service
 from logsieve.sources import logs_from_events, scratch_path, write_logs_csv
 from logsieve.streaming import prepare_stream, read_log_stream, stream_tables
 
+# The training-data operators are optional: without their subpackage the rest
+# still imports and runs. Any other missing module is an error.
+try:
+    import corpus_pipeline  # noqa: F401
+    from logsieve.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "logsieve.llm", "logsieve.llm.queries"):
+        raise
+    llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 STREAM_WATERMARK = "10 minutes"
 
@@ -115,6 +125,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | (llm_queries.queries() if llm_queries else {})
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "logs_view": _logs,
         "quality_report": lambda s, d: quality_report(_logs(s, d)),
@@ -309,6 +323,11 @@ union all select 'null_users', count(*) from clean where user_id is null
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query over the pre-registered `events` view."""
+    """DuckDB SQL per query over the pre-registered table views."""
+    return core_oracle_sql() | (llm_queries.oracle_sql() if llm_queries else {})
+
+
+def core_oracle_sql() -> dict[str, str]:
+    """DuckDB SQL per access-log query, over the `events` view."""
     prefix = f"with logs as ({_LOGS}), clean as ({_CLEAN}), high_latency as ({_HIGH_LATENCY})\n"
     return {name: prefix + body for name, body in _BODIES.items()}
