@@ -6,10 +6,36 @@ its result is written as Parquet and read again as the next stage's `docs`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logsieve.llm.common import staged
+from logsieve.llm.decontam import drop_contaminated
+from logsieve.llm.langid import fit_languages, identify_languages, rejected
+from logsieve.llm.mixing import ADDED, mix_sources
 from logsieve.llm.simhash import keep_one_of_each
+from logsieve.llm.wavelet import read_token_shards, write_token_shards
+from logsieve.sources import scratch_path
+
+#: The tables name no domain: sources are dealt into three by a hash of their name.
+MIX_DOMAIN_SQL = "case when md5(source) < '8' then 'web' when md5(source) < 'c' then 'books' else 'forum' end"
+#: Target weights by path from the root, or by ("*", name) wherever the name occurs.
+MIX_WEIGHTS: Mapping[tuple[str, ...], int] = {
+    ("web",): 5, ("books",): 3, ("forum",): 2,
+    ("*", "en"): 4, ("*", "de"): 2, ("*", "fr"): 2, ("*", "es"): 2,
+}
+
+
+def mix_levels() -> dict[str, Column]:
+    return {"domain": F.expr(MIX_DOMAIN_SQL), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no language is found (no letter) go."""
+    model = fit_languages(docs.select("text", "lang"))
+    return identify_languages(docs, model).where(~rejected()).select(*docs.columns)
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,9 +43,33 @@ def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one_of_each(docs)
 
 
-STAGES = [("simhash_near_dedup", near_dups)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a twentieth or more of their words in benchmark windows go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of a mixture of four fifths of the tokens, each at most once."""
+    mixed = mix_sources(docs, mix_levels(), MIX_WEIGHTS, budget_share=(4, 5), max_epochs=1)
+    return mixed.drop(*ADDED).select(*docs.columns)
+
+
+def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token shards on the shared folder; the row of each document read back from them."""
+    path = scratch_path(spark, "corpus-shards")
+    write_token_shards(docs, path)
+    return read_token_shards(spark, path)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", near_dups),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix),
+    ("token_shards", token_shards),
+]
 
-#: Fingerprints, tokenizer ids and learned models have no SQL form.
+#: Learned models, fingerprints and tokenizer ids have no SQL form.
 ORACLE_SQL = None
 
 

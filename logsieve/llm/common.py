@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,5 +35,19 @@ def text_bytes(df: DataFrame, text_col: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def ship_package(spark: SparkSession, _sent: set[str] = set()) -> None:  # noqa: B006  once per application
+    """Send this package to the Python workers, once per application.
+
+    The workers import the operators' task code by name; this spares the
+    caller `--py-files` or a common PYTHONPATH.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="logsieve-py-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in [*package.rglob("*.py"), package.parent / "corpus_pipeline.py"]:
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _sent.add(context.applicationId)

@@ -8,24 +8,73 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from logsieve.llm import sql
+from logsieve.llm.common import ship_package
+from logsieve.llm.decontam import contaminated, scan_benchmark
+from logsieve.llm.langid import fit_languages, identify_languages
+from logsieve.llm.mixing import mix_sources
 from logsieve.llm.simhash import simhash_near_dups
+from logsieve.llm.wavelet import read_token_shards, write_token_shards
+from logsieve.sources import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+def _held_out(divisor: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor == 1
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(_held_out(3), F.lit(False)))
+    model = fit_languages(docs.where("not held_out").select("text", "lang"))
+    return identify_languages(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(
+        _table(spark, sf_dir, "documents"), corpus_pipeline.mix_levels(), corpus_pipeline.MIX_WEIGHTS,
+        budget_share=(3, 4), max_epochs=2,
+    )
+    domain = corpus_pipeline.mix_levels()["domain"].alias("domain")
+    return mixed.select("doc_id", domain, "lang", "source", "n_tokens", "full_epochs", "take_tokens")
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_benchmark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"),
+    )
+
+
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-shards")
+    write_token_shards(_table(spark, sf_dir, "documents"), path)
+    return read_token_shards(spark, path)
+
+
 def op9_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dups(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
-    return found | {"pipeline": corpus_pipeline.run}
+    return {n: _shipped(f) for n, f in (found | {"pipeline": corpus_pipeline.run}).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {"op4_mix_sources": sql.op4_mix_sources(), "op5_decontaminate": sql.OP5_DECONTAMINATE}

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,13 +52,13 @@ def simhash_fingerprints(
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fps = np.array([fingerprint(t, shingle, seed) for t in pdf["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"id": pdf["id"], "fp": fps.view(np.int64)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t, shingle, seed) for t in batch.column("text").to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(run, f"id {kind}, fp long")
+    return source.mapInArrow(run, f"id {kind}, fp long")
 
 
 def band_masks(max_bits: int, distinct: int) -> list[int]:
