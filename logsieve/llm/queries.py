@@ -16,6 +16,7 @@ from logsieve.llm import sql
 from logsieve.llm.common import ship_package
 from logsieve.llm.decontam import contaminated, scan_benchmark
 from logsieve.llm.langid import fit_languages, identify_languages
+from logsieve.llm.lm import score_documents
 from logsieve.llm.mixing import mix_sources
 from logsieve.llm.simhash import simhash_near_dups
 from logsieve.llm.wavelet import read_token_shards, write_token_shards
@@ -71,6 +72,15 @@ def op9_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dups(_table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_held_out(5), F.lit(False))
+    scored = score_documents(docs, ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return {n: _shipped(f) for n, f in (found | {"pipeline": corpus_pipeline.run}).items()}
