@@ -16,6 +16,7 @@ from logsieve.llm import sql
 from logsieve.llm.chat import format_chat, loss_text, read_turns
 from logsieve.llm.common import ship_package
 from logsieve.llm.decontam import contaminated, scan_benchmark
+from logsieve.llm.epsjoin import embedding_near_dups
 from logsieve.llm.langid import fit_languages, identify_languages
 from logsieve.llm.lm import score_documents
 from logsieve.llm.mixing import mix_sources
@@ -62,6 +63,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_dups(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(
         _table(spark, sf_dir, "documents"), corpus_pipeline.mix_levels(), corpus_pipeline.MIX_WEIGHTS,
@@ -104,4 +109,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": sql.OP1_CHAT_FORMAT, "op4_mix_sources": sql.op4_mix_sources(), "op5_decontaminate": sql.OP5_DECONTAMINATE}
+    return {"op1_chat_format": sql.OP1_CHAT_FORMAT, "op3_embedding_near_dups": sql.OP3_EMBEDDING_NEAR_DUPS,
+            "op4_mix_sources": sql.op4_mix_sources(), "op5_decontaminate": sql.OP5_DECONTAMINATE}

@@ -19,6 +19,20 @@ select conv_id, count(*)::bigint as n_turns,
 from rows group by conv_id
 """
 
+OP3_EMBEDDING_NEAR_DUPS = """
+with recursive vec as (
+  select vec_id, label, [x::double for x in embedding] as v from embeddings
+  where label is not null and len(embedding) > 0
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0 and len([x for x in embedding if x <> 0]) > 0),
+link as (select a.vec_id as a, b.vec_id as b from vec a join vec b on a.label = b.label and a.vec_id <> b.vec_id
+         and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(a, b) as (select vec_id, vec_id from embeddings union select reach.a, link.b from reach join link on reach.b = link.a)
+select vec_id, (select count(*) from link where link.a = vec_id)::bigint as n_links,
+       (select min(b) from reach where reach.a = vec_id) as component_id,
+       vec_id = (select min(b) from reach where reach.a = vec_id) as kept
+from embeddings
+"""
+
 OP5_DECONTAMINATE = rf"""
 with item as (select cast(item_id as varchar) as item_id, {_WORDS.format("text")} as w from benchmark where text is not null),
 win as (select distinct item_id, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') as win, least(13, len(w)) as n
