@@ -18,9 +18,11 @@ from logsieve.llm.common import ship_package
 from logsieve.llm.decontam import contaminated, scan_benchmark
 from logsieve.llm.epsjoin import embedding_near_dups
 from logsieve.llm.langid import fit_languages, identify_languages
+from logsieve.llm.licenses import scan_licenses
 from logsieve.llm.lm import score_documents
 from logsieve.llm.mixing import mix_sources
 from logsieve.llm.simhash import simhash_near_dups
+from logsieve.llm.toxicity import fit_chain, score_toxicity
 from logsieve.llm.wavelet import read_token_shards, write_token_shards
 from logsieve.sources import scratch_path
 
@@ -84,6 +86,17 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    labels = labels.select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+    chain = fit_chain(docs.select("doc_id", "text").join(labels, "doc_id"), ["junk", "toxic"])
+    return score_toxicity(docs.select("doc_id", "text"), chain).select("doc_id", "p_junk", "p_toxic", "toxic")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-shards")
     write_token_shards(_table(spark, sf_dir, "documents"), path)
