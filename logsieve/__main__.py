@@ -19,10 +19,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("input", help="CSV file, folder, glob or URI")
     parser.add_argument("output", help="folder for {table}.parquet outputs")
     parser.add_argument("--stage", default="table", choices=["table", "cache", "none"])
+    parser.add_argument("--drop-staged", action="store_true", help="remove the staged clean table at the end")
+    parser.add_argument("--unordered-report", action="store_true", help="skip the report's global sort")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("logsieve").getOrCreate()
-    result = run_pipeline(spark, args.input, args.output, stage=args.stage)
-    print(json.dumps({"quality": result.quality, "tables": result.paths}, indent=2))
+    result = run_pipeline(
+        spark, args.input, args.output, stage=args.stage,
+        keep_staged=not args.drop_staged, ordered_report=not args.unordered_report,
+    )
+    print(json.dumps({"quality": result.quality, "tables": result.paths, "staged_at": result.staged_at}, indent=2))
 
 
 if __name__ == "__main__":

@@ -26,7 +26,7 @@ from logsieve.operators.quality import (
     validate_schema,
 )
 from logsieve.operators.percentiles import exact_percentiles
-from logsieve.operators.rolling import compute_rolling_error_rate
+from logsieve.operators.rolling import compute_rolling_error_rate, rolling_error_rates
 
 __all__ = [
     "aggregate_by_hour",
@@ -48,6 +48,7 @@ __all__ = [
     "latency_stats",
     "quality_report",
     "repartition_by_service",
+    "rolling_error_rates",
     "top_slow_endpoints",
     "validate_logs",
     "validate_schema",

@@ -4,7 +4,6 @@ and the combined row-level report."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from logsieve.functions import flag_token, pct
@@ -15,21 +14,10 @@ from logsieve.schema import (
     BRUTE_FORCE_MIN_REQUESTS,
     ERROR_SPIKE_PCT,
     LATENCY_MULTIPLIER,
+    REPORT_COLUMNS,
     WINDOW_DURATION,
 )
 
-REPORT_COLUMNS = (
-    "timestamp",
-    "service",
-    "endpoint",
-    "ip_address",
-    "status_code",
-    "response_time_ms",
-    "anomaly_flags",
-    "anomaly_count",
-)
-
-
 def latency_stats(df: DataFrame) -> DataFrame:
     """Per service: mean and sample standard deviation of the latency."""
     return df.groupBy(F.col("service").alias("_svc")).agg(
@@ -42,21 +30,15 @@ def detect_high_latency(
     df: DataFrame,
     multiplier: float = LATENCY_MULTIPLIER,
     *,
-    method: str = "join",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add `is_high_latency`: latency > mean + multiplier * stddev of its service.
 
-    A service with one row has a null stddev, hence a null flag. The default
-    `join` method aggregates per service (partial aggregation, skew-proof) and
-    joins the small result back, broadcast when its size allows. `window` is
-    the textbook form over `Window.partitionBy("service")`, which puts every
-    row of a service in one task; it is kept for equivalence tests.
+    A service with one row has a null stddev, hence a null flag. Statistics
+    are aggregated per service (partial aggregation, skew-proof) and the
+    small result is joined back, broadcast when its measured size allows. The
+    measuring runs now, over the input as it is now; the join is lazy.
     """
-    if method == "window":
-        w = Window.partitionBy("service")
-        mean, std = F.avg("response_time_ms").over(w), F.stddev_samp("response_time_ms").over(w)
-        return df.withColumn("is_high_latency", F.col("response_time_ms") > mean + multiplier * std)
     stats = latency_stats(df)
     # Null-safe, so rows of a null service keep their own statistics.
     joined = attach_small(df, stats, F.col("service").eqNullSafe(F.col("_svc")), "left", max_broadcast_rows)

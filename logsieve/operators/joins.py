@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -19,6 +19,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from logsieve.sources.scratch import scratch_path
+
 # Broadcast only within both bounds, checked on the materialised small side.
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -43,6 +45,16 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
+def _measured(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """`df` written once to a new scratch folder and read back, with its rows
+    and value bytes, observed by that same write."""
+    seen = Observation(name)
+    size = F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")
+    path = scratch_path(df.sparkSession, name)
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), size).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"], seen.get["bytes"]
+
+
 def attach_small(
     large: DataFrame,
     small: DataFrame,
@@ -53,46 +65,34 @@ def attach_small(
 ) -> DataFrame:
     """Join `small` (e.g. per-service statistics) onto `large`.
 
-    The small side is materialised once and measured in the same job: row
-    count and value bytes. Within both bounds it is broadcast, so the large
-    side is joined map-side with no shuffle. Beyond them the join falls back
-    to a shuffle join, where AQE's skew handling splits any partition
-    swollen by a heavy key. The join then reads the cached small side.
+    The small side is written to a new folder under the scratch root and
+    measured by that write: row count and value bytes. The join reads it
+    back, so it always sees the input as it is now (a cache entry would be
+    found again by path when the folder has grown), nothing stays cached, and
+    a lost executor costs a re-read. Within both bounds it is broadcast, so
+    the large side is joined map-side with no shuffle. Beyond them a shuffle
+    join runs, where AQE's skew handling splits any partition swollen by a
+    heavy key.
     """
-    small = small.persist()
-    rows, size = small.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(small)), F.lit(0))).first()
+    small, rows, size = _measured(small, "small-side")
     if rows <= max_broadcast_rows and size <= max_broadcast_bytes:
-        return large.join(F.broadcast(small), condition, how)
-    small.unpersist()
+        small = F.broadcast(small)
     return large.join(small, condition, how)
 
 
 def restrict_to_keys(
-    df: DataFrame,
-    keys_df: DataFrame,
-    keys: list[str],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    known_rows: int | None = None,
+    df: DataFrame, keys_df: DataFrame, keys: list[str], known_rows: int, max_broadcast_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
-    """Rows of `df` whose `keys` (null-safe) appear in `keys_df`.
+    """Rows of `df` whose `keys` appear in `keys_df`, and any whose keys share
+    a 64-bit hash with one that does.
 
-    `known_rows` is a bound on `keys_df`'s size known from the plan (e.g. the
-    n of a top-n); within `max_broadcast_rows` the keys are broadcast and the
-    filter runs map-side.
+    `known_rows` bounds `keys_df`'s rows, from the plan (the n of a top-n).
+    Only hashes are joined, 8 bytes a row however long the keys are, so
+    within `max_broadcast_rows` the broadcast side has a proven size and the
+    filter runs map-side; beyond it a shuffle semi-join runs. The caller
+    ranks the few groups that come out again, which drops a chance collision.
     """
-    renamed = keys_df.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
-    if known_rows is not None and known_rows <= max_broadcast_rows:
-        renamed = F.broadcast(renamed)
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    return df.join(renamed, cond, "left_semi")
-
-
-def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join on equal `keys` (null-safe), keeping the left's key columns."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+    hashes = keys_df.select(F.xxhash64(*keys).alias("_keys_hash"))
+    if known_rows <= max_broadcast_rows:
+        hashes = F.broadcast(hashes)
+    return df.join(hashes, F.xxhash64(*keys) == F.col("_keys_hash"), "left_semi")

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsieve.functions import pct
-from logsieve.operators.joins import join_on_keys, restrict_to_keys
-from logsieve.operators.percentiles import COUNT, exact_percentiles, percentile_columns, value_histogram
+from logsieve.operators.joins import restrict_to_keys
+from logsieve.operators.percentiles import COUNT, VALUE, percentile_columns, value_histogram
 from logsieve.schema import TOP_IPS, TOP_SLOW_ENDPOINTS
 
 # Spark's default accuracy for percentile_approx (relative rank error 1/10000).
@@ -94,27 +94,30 @@ def top_slow_endpoints(
 
     Ties at the cut are broken by endpoint, then service, so the result is
     deterministic. Two steps keep this cheap when endpoints are many (paths
-    with ids in them): mean and count for every pair, top n by a
-    per-partition top-n merge (TakeOrderedAndProject, never a full sort);
-    then the p99 only over the rows of those n pairs, selected by a
-    semi-join against the n keys (broadcast while n is small).
+    with ids in them): the mean of every pair, top n by a per-partition top-n
+    merge (TakeOrderedAndProject, never a full sort); then mean, p99 and
+    calls of those n pairs, all from one histogram of their rows, which a
+    semi-join against the hashes of the n keys (broadcast while n is small)
+    selects.
     """
     keys = ["endpoint", "service"]
     order = [F.col("avg_ms").desc(), "endpoint", "service"]
-    top = (
-        df.groupBy(*keys)
-        .agg(F.avg("response_time_ms").alias("avg_ms"), F.count(F.lit(1)).alias("calls"))
-        .orderBy(*order)
-        .limit(n)
-    )
+    top = df.groupBy(*keys).agg(F.avg("response_time_ms").alias("avg_ms")).orderBy(*order).limit(n)
     rows = restrict_to_keys(df, top, keys, known_rows=n)
     if percentiles == "exact":
-        p99 = exact_percentiles(rows, keys, "response_time_ms", {"p99_ms": 0.99})
+        ranked, picks = percentile_columns(value_histogram(rows, keys, "response_time_ms"), keys, {"p99_ms": 0.99})
+        # Integer sums divided once: the same double as avg() over the rows.
+        timed = F.sum(F.when(F.col(VALUE).isNotNull(), F.col(COUNT)))
+        mean = F.sum(F.col(VALUE) * F.col(COUNT)) / timed
+        out = ranked.groupBy(*keys).agg(mean.alias("avg_ms"), *picks, F.sum(COUNT).alias("calls"))
     elif percentiles == "approx":
-        p99 = rows.groupBy(*keys).agg(F.percentile_approx("response_time_ms", 0.99, accuracy).alias("p99_ms"))
+        p99 = F.percentile_approx("response_time_ms", 0.99, accuracy)
+        out = rows.groupBy(*keys).agg(
+            F.avg("response_time_ms").alias("avg_ms"), p99.alias("p99_ms"), F.count(F.lit(1)).alias("calls")
+        )
     else:
         raise ValueError(f"unknown percentiles {percentiles!r}")
-    return join_on_keys(top, p99, keys).select("endpoint", "service", "avg_ms", "p99_ms", "calls").orderBy(*order)
+    return out.select("endpoint", "service", "avg_ms", "p99_ms", "calls").orderBy(*order).limit(n)
 
 
 def ip_traffic_summary(df: DataFrame, top_n: int = TOP_IPS, approx_users: bool = False) -> DataFrame:

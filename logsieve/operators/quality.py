@@ -11,7 +11,7 @@ from logsieve.schema import MANDATORY_COLUMNS
 
 
 def _null_count(c: str) -> Column:
-    return F.sum(F.col(c).isNull().cast("int")).cast("bigint")
+    return F.count_if(F.col(c).isNull())
 
 
 def _any_null(columns: Sequence[str]) -> Column:
@@ -23,15 +23,16 @@ def _any_null(columns: Sequence[str]) -> Column:
 
 def quality_report(df: DataFrame, columns: Sequence[str] = MANDATORY_COLUMNS) -> DataFrame:
     """One-row summary in a single pass: total rows, nulls and null % per
-    mandatory column, rows dropped by `drop_invalid` and rows kept."""
+    mandatory column, rows dropped by `drop_invalid` and rows kept. Without
+    input rows every count is 0 and every percentage null."""
     total = F.count(F.lit(1))
     nulls = [_null_count(c).alias(f"{c}_nulls") for c in columns]
-    dropped = F.sum(_any_null(columns).cast("int")).cast("bigint")
+    dropped = F.count_if(_any_null(columns))
     agg = df.agg(total.alias("total_rows"), *nulls, dropped.alias("dropped_rows"))
     return agg.select(
         "total_rows",
         *[F.col(f"{c}_nulls") for c in columns],
-        *[(F.col(f"{c}_nulls") / F.col("total_rows") * 100).alias(f"{c}_null_pct") for c in columns],
+        *[(F.try_divide(f"{c}_nulls", "total_rows") * 100).alias(f"{c}_null_pct") for c in columns],
         "dropped_rows",
         (F.col("total_rows") - F.col("dropped_rows")).alias("valid_rows"),
     )
@@ -63,7 +64,7 @@ def validate_logs(
             observation,
             F.count(F.lit(1)).alias("total_rows"),
             *[_null_count(c).alias(f"{c}_nulls") for c in columns],
-            F.sum(_any_null(columns).cast("int")).cast("bigint").alias("dropped_rows"),
+            F.count_if(_any_null(columns)).alias("dropped_rows"),
         )
     return drop_invalid(df, columns)
 

@@ -10,18 +10,14 @@ from logsieve.functions import epoch_seconds, pct
 from logsieve.schema import ROLLING_LOOKBACK_SECONDS
 
 
-def compute_rolling_error_rate(
-    df: DataFrame,
-    lookback_seconds: int = ROLLING_LOOKBACK_SECONDS,
-    *,
-    method: str = "prefix",
-) -> DataFrame:
-    """Add `rolling_error_rate`: error % (rounded to 2) of the row's service
+def rolling_error_rates(df: DataFrame, lookback_seconds: int = ROLLING_LOOKBACK_SECONDS) -> DataFrame:
+    """(_svc, _sec, rolling_error_rate): error % (rounded to 2) of a service
     over [t - lookback, t] in whole seconds, both ends included, all rows of
-    the same second included.
+    the same second included, for each second in which it has a row.
 
-    `prefix` (default) costs O(n log n) and never puts a whole service in one
-    task:
+    This is the small table behind `compute_rolling_error_rate`; read it
+    directly where the rate need not be on every row. It costs O(n log n) and
+    never puts a whole service in one task:
       1. pre-aggregate rows to (service, second): requests, errors;
       2. cut time into buckets of `lookback` seconds. A second's totals go to
          its own bucket and, as a copy, to the next one, so every frame a
@@ -30,22 +26,12 @@ def compute_rolling_error_rate(
       3. per (service, bucket), running sums C(t) over seconds give the frame
          total as C(s) - C(s - lookback - 1). The second term is read from a
          zero-weight probe row placed at s - lookback - 1, then brought next
-         to its second by a re-sort within the same partitioning;
-      4. join the per-second rates back to the rows on (service, second).
+         to its second by a re-sort within the same partitioning.
     Running sums are used because Spark's sliding RANGE frame re-aggregates
     the frame whenever its lower bound moves, i.e. O(rows x frame).
-    `window` is that direct form (one task per service), kept for tests.
     """
     sec = epoch_seconds("timestamp", df.schema["timestamp"].dataType)
     err = F.col("is_error").cast("int")
-    if method == "window":
-        w = Window.partitionBy("service").orderBy(sec).rangeBetween(-lookback_seconds, 0)
-        return df.withColumn(
-            "rolling_error_rate", pct(F.sum(err).over(w), F.count(F.lit(1)).over(w))
-        )
-    if method != "prefix":
-        raise ValueError(f"unknown method {method!r}")
-
     width = max(lookback_seconds, 1)
     per_second = df.groupBy(F.col("service").alias("_svc"), sec.alias("_sec")).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -91,12 +77,18 @@ def compute_rolling_error_rate(
     # Each second is directly followed by its probe; subtract the probe's sums.
     pair = part.orderBy("_sec", "_probe")
     frame = {c: F.col(c) - F.coalesce(F.lead(c).over(pair), F.lit(0)) for c in ("_n", "_e", "_k")}
-    rates = cum.select(
+    return cum.select(
         "_svc",
         "_sec",
         "_probe",
         pct(F.when(frame["_k"] > 0, frame["_e"]), frame["_n"]).alias("rolling_error_rate"),
     ).filter(~F.col("_probe")).drop("_probe")
 
+
+def compute_rolling_error_rate(df: DataFrame, lookback_seconds: int = ROLLING_LOOKBACK_SECONDS) -> DataFrame:
+    """Add `rolling_error_rate` of the row's service and second: the rates of
+    `rolling_error_rates`, joined back to the rows on (service, second)."""
+    rates = rolling_error_rates(df, lookback_seconds)
+    sec = epoch_seconds("timestamp", df.schema["timestamp"].dataType)
     cond = F.col("service").eqNullSafe(F.col("_svc")) & sec.eqNullSafe(F.col("_sec"))
     return df.join(rates, cond, "left").drop("_svc", "_sec")

@@ -1,7 +1,6 @@
-"""Compositions of the operators: ingestion, processing, detection, the
-end-to-end batch pipeline, and join helpers."""
+"""Compositions of the operators: ingestion, processing, detection and the
+end-to-end batch pipeline."""
 
-from logsieve.operators.joins import attach_small
 from logsieve.plans.pipeline import (
     PROCESSING_TABLES,
     ANOMALY_TABLES,
@@ -14,7 +13,6 @@ from logsieve.plans.pipeline import (
 __all__ = [
     "ANOMALY_TABLES",
     "PROCESSING_TABLES",
-    "attach_small",
     "load_logs",
     "run_anomaly_detection",
     "run_pipeline",

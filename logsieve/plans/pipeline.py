@@ -18,11 +18,12 @@ from logsieve.operators import (
     detect_null_user_ids,
     enrich,
     ip_traffic_summary,
+    quality_report,
     top_slow_endpoints,
     validate_logs,
 )
 from logsieve.schema import MANDATORY_COLUMNS, Thresholds
-from logsieve.sources import read_logs, save_results, scratch_path
+from logsieve.sources import read_logs, remove_path, save_results, scratch_path
 
 PROCESSING_TABLES = ("by_service", "by_hour", "status_dist", "slow_endpoints", "ip_summary")
 ANOMALY_TABLES = ("report", "error_spikes", "brute_force", "null_users")
@@ -108,6 +109,8 @@ def run_pipeline(
     max_parallel_jobs: int | None = None,
     partition_by: dict[str, list[str]] | None = None,
     stage_dir: str | None = None,
+    keep_staged: bool = True,
+    ordered_report: bool = True,
 ) -> PipelineResult:
     """Run everything and write the nine tables to `{output_dir}/{name}.parquet`.
 
@@ -119,9 +122,13 @@ def run_pipeline(
         reads only the columns it needs.
       - stage="cache": persisted in executor memory/disk.
       - stage="none": every table re-reads the source.
-    The quality numbers are observed during that single first pass.
+    The quality numbers are observed during that single first pass; with
+    stage="none" they are a pass of their own.
     `stage_dir` puts the staged table somewhere of the caller's choosing
-    (overwritten), e.g. to keep it as the cleaned log table.
+    (overwritten), e.g. to keep it as the cleaned log table;
+    `keep_staged=False` removes it when the tables are written.
+    `ordered_report=False` leaves out the report's global sort, which is the
+    largest shuffle of the pipeline.
     `partition_by` names output partition columns per table, e.g.
     {"null_users": ["date"]} for date-pruned reads later.
     """
@@ -143,11 +150,18 @@ def run_pipeline(
     # The report has the longest chain (statistics, size check, join, sort),
     # so it is submitted first.
     results = {
-        **anomaly_tables(clean, thresholds),
+        **anomaly_tables(clean, thresholds, ordered_report),
         **processing_tables(clean, thresholds),
     }
     paths = save_results(results, output_dir, partition_by=partition_by, max_parallel_jobs=max_parallel_jobs)
-    quality = dict(obs.get) if stage != "none" else {}
+    if stage == "none":
+        numbers = quality_report(raw).first().asDict()
+        quality = {k: v for k, v in numbers.items() if not k.endswith("_pct") and k != "valid_rows"}
+    else:
+        quality = dict(obs.get)
     if stage == "cache":
         clean.unpersist()
+    if staged_at and not keep_staged:
+        remove_path(spark, staged_at)
+        staged_at = None
     return PipelineResult(paths=paths, quality=quality, staged_at=staged_at)

@@ -25,9 +25,6 @@ WINDOW_DURATION = "5 minutes"
 ROLLING_LOOKBACK_SECONDS = 3600
 TOP_SLOW_ENDPOINTS = 10
 TOP_IPS = 20
-# --- end of fixed values ---
-
-CORRUPT_RECORD_COLUMN = "_corrupt_record"
 
 # Column layout of the CSV access log, in file order. `timestamp` is read as
 # text and parsed afterwards so a bad value becomes null instead of failing.
@@ -48,6 +45,21 @@ LOG_SCHEMA = StructType(
     ]
 )
 
+# Columns of the row-level anomaly report.
+REPORT_COLUMNS = (
+    "timestamp",
+    "service",
+    "endpoint",
+    "ip_address",
+    "status_code",
+    "response_time_ms",
+    "anomaly_flags",
+    "anomaly_count",
+)
+# --- end of fixed values ---
+
+CORRUPT_RECORD_COLUMN = "_corrupt_record"
+
 LOG_COLUMNS = tuple(f.name for f in LOG_SCHEMA.fields)
 DERIVED_COLUMNS = ("date", "hour", "is_error", "is_slow", "status_class")
 

@@ -4,13 +4,14 @@ Parquet result sinks and the shared scratch folder."""
 from logsieve.sources.csv_logs import read_logs, write_logs_csv
 from logsieve.sources.events import logs_from_events
 from logsieve.sources.parquet import read_results, save_results
-from logsieve.sources.scratch import checkpoint_root, scratch_path
+from logsieve.sources.scratch import checkpoint_root, remove_path, scratch_path
 
 __all__ = [
     "checkpoint_root",
     "logs_from_events",
     "read_logs",
     "read_results",
+    "remove_path",
     "save_results",
     "scratch_path",
     "write_logs_csv",

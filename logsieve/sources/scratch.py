@@ -35,6 +35,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through its own Hadoop file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the checkpoint root."""
     return f"{checkpoint_root(spark)}/logsieve/{name}-{uuid.uuid4().hex[:12]}"

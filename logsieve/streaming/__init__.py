@@ -2,10 +2,11 @@
 filter (same operators, fed by a watermarked stream)."""
 
 from logsieve.streaming.detectors import (
+    late_rows,
     prepare_stream,
     read_log_stream,
     start_detectors,
     stream_tables,
 )
 
-__all__ = ["prepare_stream", "read_log_stream", "start_detectors", "stream_tables"]
+__all__ = ["late_rows", "prepare_stream", "read_log_stream", "start_detectors", "stream_tables"]

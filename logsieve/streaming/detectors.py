@@ -4,8 +4,10 @@ The batch operators are reused as they are: Spark turns the windowed
 aggregations into stateful operators, and the watermark decides when a
 (key, window) is final and can be emitted in append mode and its state
 dropped. Results are appended to Parquet folders; progress and state live
-under the session's checkpoint folder, so a restarted query resumes where
-it stopped.
+beside them, so a query started again over the same output resumes where it
+stopped. A window is emitted once the watermark has passed its end: the last
+windows of a folder that has stopped growing stay open, in the state, and the
+batch detectors over that folder give them.
 
 Only detectors whose result for a window is final once the window closes
 are streamed. The latency report needs each service's statistics over the
@@ -21,7 +23,6 @@ from pyspark.sql.types import TimestampNTZType
 from logsieve.operators import detect_brute_force, detect_error_spikes, detect_null_user_ids, drop_invalid, enrich
 from logsieve.schema import LOG_SCHEMA, TIMESTAMP_FORMAT, Thresholds
 from logsieve.sources.csv_logs import parse_timestamp
-from logsieve.sources.scratch import scratch_path
 
 STREAM_TABLES = ("error_spikes", "brute_force", "null_users")
 
@@ -82,18 +83,22 @@ def start_detectors(
     checkpoint_dir: str | None = None,
     available_now: bool = False,
     processing_time: str = "1 minute",
+    tables: tuple[str, ...] = STREAM_TABLES,
 ) -> dict[str, StreamingQuery]:
-    """Start one append-mode query per table, writing `{output_dir}/{name}.parquet`.
-
-    `checkpoint_dir` defaults to a new folder under the session's checkpoint
-    root; pass the same folder again to resume. `available_now=True`
-    processes what is there and stops (scheduled batch-style runs).
+    """Start one append-mode query for each of `tables`, writing `{output_dir}/{name}.parquet`.
+
+    `checkpoint_dir` defaults to `{output_dir}/_checkpoints`, which belongs to
+    these outputs: starting again over the same output resumes, and every row
+    is counted once. A new checkpoint folder over old outputs would restart
+    the batch numbers, and the Parquet sink skips numbers it has already
+    committed. `available_now=True` processes what is there and stops
+    (scheduled batch-style runs).
     """
-    ckpt = checkpoint_dir or scratch_path(spark, "stream-checkpoints")
+    ckpt = checkpoint_dir or f"{output_dir.rstrip('/')}/_checkpoints"
     queries = {}
-    for name, df in stream_tables(stream, thresholds).items():
+    for name in tables:
         writer = (
-            df.writeStream.format("parquet")
+            stream_tables(stream, thresholds)[name].writeStream.format("parquet")
             .outputMode("append")
             .option("path", f"{output_dir.rstrip('/')}/{name}.parquet")
             .option("checkpointLocation", f"{ckpt}/{name}")
@@ -102,3 +107,13 @@ def start_detectors(
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
         queries[name] = writer.start()
     return queries
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Aggregated rows that a query dropped for being behind the watermark, in
+    the progress reports that Spark still keeps of it."""
+    return sum(
+        int(operator["numRowsDroppedByWatermark"])
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

@@ -1,7 +1,10 @@
 """Physical-plan checks: no Python in the data path, pushdown, broadcast and
 top-k strategies, no single-task window over a whole service."""
 
+from pyspark.sql import functions as F
+
 from logsieve.operators import (
+    aggregate_by_hour,
     aggregate_by_service,
     build_anomaly_report,
     compute_rolling_error_rate,
@@ -32,11 +35,41 @@ def test_no_python_udfs(spark):
         assert "PythonUDF" not in plan and "EvalPython" not in plan
 
 
-def test_scan_reads_only_needed_columns(spark):
-    plan = _plan(aggregate_by_service(_clean(spark)))
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in plan
-    # Null services are dropped in the scan's filter, not after the mapping.
-    assert "PushedFilters" in plan
+def test_scan_reads_only_needed_columns(spark, sample_df, tmp_dir):
+    path = f"{tmp_dir}/wide"
+    sample_df.withColumn("unused", F.lit("x")).write.parquet(path)
+    hours = aggregate_by_hour(enrich(drop_invalid(spark.read.parquet(path))))
+    scan = next(line for line in _plan(hours).splitlines() if line.startswith("ReadSchema"))
+    assert scan == (
+        "ReadSchema: struct<timestamp:timestamp,log_level:string,service:string,status_code:int,response_time_ms:int>"
+    )
+    pushed = next(line for line in _plan(hours).splitlines() if line.startswith("PushedFilters"))
+    assert all(f"IsNotNull({c})" in pushed for c in ("timestamp", "log_level", "service", "status_code"))
+
+
+def test_slow_endpoints_scan_twice(spark):
+    assert _plan(top_slow_endpoints(_clean(spark))).count("ReadSchema") == 2
+
+
+def test_unordered_report_has_no_range_exchange(spark, sample_df):
+    from logsieve.plans import run_anomaly_detection
+
+    def plan(ordered):
+        return _plan(run_anomaly_detection(sample_df, ordered_report=ordered)["report"])
+
+    assert "rangepartitioning" in plan(True) and "rangepartitioning" not in plan(False)
+
+
+def test_rolling_shuffle_join_gives_the_same_rows(spark):
+    df = _clean(spark)
+    want = sorted(map(str, compute_rolling_error_rate(df).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rolled = compute_rolling_error_rate(df)
+        assert "BroadcastHashJoin" not in _plan(rolled)
+        assert sorted(map(str, rolled.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_high_latency_broadcasts_small_stats(spark):
@@ -71,7 +104,6 @@ def test_operators_start_no_jobs_when_built(spark):
     """Building the lazy operators runs nothing; only the broadcast size
     check of the latency statistics is an action."""
     from logsieve.operators import (
-        aggregate_by_hour,
         aggregate_status_distribution,
         detect_brute_force,
         detect_error_spikes,

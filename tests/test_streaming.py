@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from logsieve.operators import detect_brute_force, detect_error_spikes, detect_null_user_ids, drop_invalid, enrich
 from logsieve.sources import write_logs_csv
-from logsieve.streaming import prepare_stream, read_log_stream, start_detectors
+from logsieve.streaming import late_rows, prepare_stream, read_log_stream, start_detectors
 from tests.conftest import log_row, make_logs
 
 T0 = datetime(2024, 1, 15, 9, 0, 0)
@@ -63,3 +63,29 @@ def test_ntz_stream_is_rejected(spark):
     df = spark.readStream.format("rate").load().select(F.col("timestamp").cast(TimestampNTZType()).alias("timestamp"))
     with pytest.raises(TypeError):
         prepare_stream(df)
+
+
+def _run(spark, src, out):
+    stream = prepare_stream(read_log_stream(spark, src + "/*"), "5 minutes")
+    queries = start_detectors(spark, stream, out, available_now=True)
+    for q in queries.values():
+        q.awaitTermination(120)
+        assert q.exception() is None
+    return queries
+
+
+def test_restart_over_a_growing_folder_counts_every_row_once(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    first = [log_row(T0 + timedelta(seconds=i), user=None) for i in range(50)]
+    then = [log_row(T0 + timedelta(minutes=20, seconds=i), user=None, status=500) for i in range(30)]
+    write_logs_csv(make_logs(spark, first), src + "/a")
+    _run(spark, src, out)
+    write_logs_csv(make_logs(spark, then), src + "/b")
+    queries = _run(spark, src, out)
+    assert spark.read.parquet(out + "/null_users.parquet").count() == 80
+    assert late_rows(queries["error_spikes"]) == 0
+    # Rows behind the watermark are dropped by the window detectors, and counted.
+    write_logs_csv(make_logs(spark, first[:7]), src + "/c")
+    queries = _run(spark, src, out)
+    assert late_rows(queries["error_spikes"]) > 0
+    assert spark.read.parquet(out + "/null_users.parquet").count() == 87

@@ -1,12 +1,11 @@
 """Skew probe: the pipeline and the rolling rate on logs where one service and
 one IP each hold a third of all rows.
 
-usage: python tools/skew_probe.py [rows] [--window]
+usage: python tools/skew_probe.py [rows]
 
 Generates the rows with Spark into the scratch folder (not a registered
 query: made-up data, used only to watch task balance and timing), runs
-`run_pipeline` and `compute_rolling_error_rate`, and with `--window` also the
-textbook window forms for comparison. Set spark.eventLog.* to inspect task
+`run_pipeline`, `compute_rolling_error_rate` and `detect_high_latency`. Set spark.eventLog.* to inspect task
 times per stage.
 """
 
@@ -54,8 +53,7 @@ def _time(label: str, run) -> None:
 
 
 def main() -> None:
-    args = [a for a in sys.argv[1:] if not a.startswith("--")]
-    n = int(args[0]) if args else 6_000_000
+    n = int(sys.argv[1]) if len(sys.argv) > 1 else 6_000_000
     spark = SparkSession.builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     src = scratch_path(spark, "skew-src")
@@ -64,10 +62,7 @@ def main() -> None:
     clean = enrich(drop_invalid(logs))
     _time("pipeline", lambda: run_pipeline(spark, logs, scratch_path(spark, "skew-out")))
     _time("rolling (running sums)", lambda: compute_rolling_error_rate(clean).write.format("noop").mode("overwrite").save())
-    if "--window" in sys.argv:
-        _time("rolling (RANGE window)", lambda: compute_rolling_error_rate(clean, method="window").write.format("noop").mode("overwrite").save())
-        _time("high latency (join)", lambda: detect_high_latency(clean).write.format("noop").mode("overwrite").save())
-        _time("high latency (window)", lambda: detect_high_latency(clean, method="window").write.format("noop").mode("overwrite").save())
+    _time("high latency", lambda: detect_high_latency(clean).write.format("noop").mode("overwrite").save())
 
 
 if __name__ == "__main__":
