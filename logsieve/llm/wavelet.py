@@ -20,8 +20,8 @@ SHARD_TOKENS = 1 << 19
 RANK_STEP = 512
 #: Shards up to which their starts are broadcast to the readers.
 BROADCAST_SHARDS = 1 << 20
-#: Distinct pieces a worker remembers the ids of.
-PIECES = 400_000
+#: Distinct pieces of a generation that a worker remembers the ids of.
+PIECES = 500_000
 
 _MAGIC = b"WMTX"
 
@@ -145,21 +145,51 @@ class WaveletMatrix:
 
 
 # White space as Unicode defines it; a piece is a run without it, with at most
-# one space before. A word before a point, comma or white space is cut there.
+# one space before. A word before white space or any other ASCII character is
+# cut there, as no piece of byte-level BPE goes on from letters to those.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ʯ"
 _PIECE = re.compile(
-    f" ?[{_LETTERS}]+(?=[{_WHITE}.,]|\\Z)| ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
+    f" ?[{_LETTERS}]+(?=[\0-@[-`{{-\x7f{_WHITE}]|\\Z)| ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
 )
 
 
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """How byte-level BPE writes each byte: printable Latin-1 as itself, the
+    others, in order, as the characters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in printable else next(others)) for b in range(256)}
+
+
+class _Pieces(dict):
+    """Ids by piece: looks up what it holds, encodes the rest once. It keeps
+    two generations of `PIECES`, so that what is still used stays."""
+
+    def __init__(self, encode):
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if (found := self.older.get(piece)) is None:
+            found = self.encode(piece)
+        if len(self) >= PIECES:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = found
+        return found
+
+
 class Encoder:
     """Ids of whole texts by the `tokenizers` library, as little-endian u32.
 
     A byte-level BPE tokenizer splits at white space before merging, so equal
     pieces between two cuts have equal ids: a text is cut there and each
-    distinct piece is encoded by the library once per worker. Any other
-    tokenizer encodes the text as one piece.
+    distinct piece is encoded by the library once per worker, a piece that
+    is one word by the library's BPE model itself. Any other tokenizer
+    encodes the text as one piece.
     """
 
     def __init__(self, path: str):
@@ -167,33 +197,30 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer
         self.by_piece = (
-            type(model).__name__ == "BPE" and type(cut).__name__ == "ByteLevel"
+            type(self.model).__name__ == "BPE" and type(cut).__name__ == "ByteLevel"
             and self.tokenizer.normalizer is None and not cut.add_prefix_space and cut.use_regex
         )
-        self.known: dict[str, bytes] = {}
+        self.alphabet = _byte_alphabet()
+        self.pieces = _Pieces(self._piece)
 
-    def _ids(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if (found := self.known.get(piece)) is None:
-            if len(self.known) >= PIECES:
-                self.known.clear()
-            found = self.known[piece] = self._ids(piece)
-        return found
+        if not _WORD.fullmatch(piece):
+            return self._ids(piece)
+        written = piece.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.model.tokenize(written)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.by_piece:
             return self._ids(text)
-        pieces = _PIECE.findall(text)
-        try:  # nearly all pieces of a text are known
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            return b"".join(map(self._piece, pieces))
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
 
 
 def _encoder(path: str, made: dict[str, Encoder] = {}) -> Encoder:  # noqa: B006  one per worker process
