@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from logsieve.llm.common import staged
 
 #: Text bytes of a chunk of documents that is tokenised and scored together.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Pseudo-count of the failure arc: what a state gives to all words it has no arc for.
 STRENGTH = 50.0
 
@@ -237,7 +237,7 @@ def score_documents(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(trained, F.lit(True)).alias("train")
     )
     chunks = staged(_chunks(rows, chunk_bytes), "lm-chunks")
-    shards = max(1, chunks.count())
+    shards = max(1, chunks.count() // 2)
     asked = _gram_counts(chunks, order, shards)
     totals = staged(asked.groupBy("length", "shard").applyInArrow(_sum_shard, _TOTAL_SCHEMA), "lm-totals")
     n_tokens, n_words = _seen(totals.where("chunk = -1 and length = 1").select("totals"))
