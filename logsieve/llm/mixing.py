@@ -62,12 +62,15 @@ def leaf_budgets(
         own = list(levels[:depth])
         up = tree[0].groupBy(*own).agg(F.sum("cap").cast("decimal(38,0)").alias("cap"))
         tree.insert(0, up.withColumn("cap", F.when(_weight(own, weights) > 0, F.col("cap")).otherwise(0)))
-    root = tree[0].agg(F.sum("cap").cast("decimal(38,0)").alias("cap"))
-    spread = root.select(F.least(F.col("cap"), F.lit(budget).cast("decimal(38,0)")).alias("b"), F.lit("[]").alias("up"))
+    held = int(tree[0].agg(F.sum("cap")).first()[0] or 0)
+    spread = None
     for depth, nodes in enumerate(tree, 1):
         own = list(levels[:depth])
         nodes = nodes.withColumn("w", _weight(own, weights)).withColumn("path", _path(own))
-        nodes = nodes.withColumn("up", _path(own[:-1]) if depth > 1 else F.lit("[]")).join(spread, "up")
+        if spread is None:
+            nodes = nodes.withColumns({"up": F.lit("[]"), "b": F.lit(min(held, budget)).cast("decimal(38,0)")})
+        else:
+            nodes = nodes.withColumn("up", _path(own[:-1])).join(spread, "up")
         by_need = Window.partitionBy("up").orderBy(
             (F.col("w") == 0), (F.col("cap").cast("double") / F.when(F.col("w") > 0, F.col("w")).cast("double")), "path"
         )
