@@ -112,11 +112,11 @@ def find_template(words: Sequence[str], template: Sequence[str], inside: np.ndar
     """
     m = len(template)
     need = -(-m * round(share * 1000) // 1000)
-    width = min(len(words), m + -(-m // 4))
-    if not m or width < need:
+    width = m + -(-m // 4)
+    if not m or len(words) < need:
         return []
     sums = np.r_[0, np.cumsum(inside)]
-    held = sums[width:] - sums[:-width]
+    held = sums[np.minimum(np.arange(len(words)) + width, len(words))] - sums[:-1]
     out, at = [], 0
     starts = np.flatnonzero(held >= need)
     while len(starts := starts[starts >= at]):

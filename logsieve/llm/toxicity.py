@@ -20,7 +20,7 @@ FOLDS = 3
 #: Lengths of the word beginnings that are features beside the word itself.
 PREFIXES = (3, 4, 5, 6)
 #: Passes over the sample, rows of a step, and the strengths of the L1 and L2 penalties.
-EPOCHS, STEP, L1, L2 = 16, 32, 10.0, 0.1
+EPOCHS, STEP, L1, L2 = 16, 32, 15.0, 0.1
 #: Distinct words whose features a worker remembers.
 WORDS = 400_000
 

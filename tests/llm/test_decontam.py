@@ -1,0 +1,91 @@
+"""Benchmark decontamination against a brute-force scan."""
+
+import hashlib
+import random
+import re
+
+from logsieve.llm.decontam import contaminated, cut_spans, drop_contaminated, scan_benchmark
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute(text, items, n=13):
+    words, hit, found = WORD.findall(lower(text)), set(), set()
+    for item, item_text in items:
+        own = WORD.findall(lower(item_text))
+        size = min(n, len(own))
+        for k in range(len(own) - size + 1 if size else 0):
+            for at in range(len(words) - size + 1):
+                if words[at : at + size] == own[k : k + size]:
+                    hit |= set(range(at, at + size))
+                    found.add(str(item))
+    return len(words), len(hit), sorted(found)
+
+
+def _fixture():
+    rnd = random.Random(2)
+    vocabulary = ["the", "of", "a"] + [f"w{i}é" for i in range(40)]
+    items = [(i, " ".join(rnd.choices(vocabulary, k=rnd.choice([20, 25, 13, 12, 4])))) for i in range(12)]
+    items += [(12, None), (13, "..."), (14, items[0][1]), (100, "Ünique, Word")]
+    docs = [(0, None), (1, ""), (2, "?!"), (3, items[3][1]), (4, "x ünique WORD y Ünique word")]
+    for i in range(5, 60):
+        words = rnd.choices(vocabulary, k=rnd.randint(1, 200))
+        if i % 2:
+            own = items[rnd.randrange(12)][1].split()
+            at = rnd.randint(0, len(words))
+            words[at:at] = own[rnd.randint(0, 3) :]
+        docs.append((i, rnd.choice([" ", ", ", "\n"]).join(words).title()))
+    docs.append((5, docs[5][1]))
+    return docs, items
+
+
+def test_scan_against_brute_force(spark):
+    docs, items = _fixture()
+    frame = spark.createDataFrame([(*d, 7, "x") for d in docs], "doc_id long, text string, N_HIT int, other string")
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    # Measured in bytes, so a small bound gives several broadcast blocks.
+    for block_bytes in (1 << 20, 300):
+        got = scan_benchmark(frame, bench, block_bytes=block_bytes)
+        assert got.columns == ["doc_id", "text", "other", "n_words", "n_hit", "hit_spans", "item_ids"]
+        rows = sorted((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in got.collect())
+        assert rows == sorted((d, *brute(t, items)) for d, t in docs)
+    marked = {r.doc_id: r.bad for r in got.select("doc_id", contaminated().alias("bad")).collect()}
+    assert marked[3] and not marked[0]
+
+
+def test_share_of_a_twentieth_is_contaminated(spark):
+    bench = spark.createDataFrame([(1, "alpha beta")], "item_id int, text string")
+    docs = spark.createDataFrame(
+        [(k, "alpha beta" + " z" * k) for k in (37, 38, 39)], "doc_id long, text string")
+    kept = {r.doc_id for r in drop_contaminated(docs, bench).collect()}
+    assert kept == {39}  # 2 of 40 words is a twentieth
+
+
+def test_documents_and_spans_removed_keep_columns(spark):
+    bench = spark.createDataFrame([(1, "secret question words")], "item_id int, text string")
+    docs = spark.createDataFrame(
+        [(1, "Before. Secret question, words! After", 3), (2, "clean text", 4), (None, None, None)],
+        "doc_id long, text string, n_words int",
+    )
+    assert drop_contaminated(docs, bench).columns == docs.columns
+    assert {tuple(r) for r in drop_contaminated(docs, bench).collect()} == {(2, "clean text", 4), (None, None, None)}
+    assert {tuple(r) for r in cut_spans(docs, bench).collect()} == {
+        (1, "Before. ! After", 3), (2, "clean text", 4), (None, None, None)}
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id int, text string")
+    assert [(r.n_words, r.n_hit, r.item_ids) for r in scan_benchmark(docs, none).collect()] == [(2, 0, [])]
+    assert scan_benchmark(docs.limit(0), none).count() == 0
+
+
+def test_query_digest(spark):
+    from logsieve.llm.queries import op5_decontaminate
+
+    row = op5_decontaminate(spark, "/root/testdata/sf0.001").where("n_items = 0").first()
+    assert row.items_sha256 == hashlib.sha256(b"").hexdigest() and row.contaminated is False

@@ -1,0 +1,96 @@
+"""LM scoring against a plain-Python smoothed n-gram model."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from logsieve.llm.lm import score_documents
+
+
+def tokens(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        low = low.replace(c, " ")
+    return [w for w in low.split(" ") if w] + ["</s>"]
+
+
+def brute(rows, order, strength):
+    counts = [Counter() for _ in range(order + 1)]
+    for _, text, train in rows:
+        if train is not False:
+            words = ["</s>", *tokens(text)]
+            counts[1].update(words[1:])
+            for n in range(2, order + 1):
+                counts[n].update(tuple(words[i - n + 1 : i + 1]) for i in range(n - 1, len(words)))
+    n, v = sum(counts[1].values()), len(counts[1])
+    out = []
+    for name, text, _ in rows:
+        words, base, score, known = ["</s>", *tokens(text)], 0.0, 0.0, 0
+        for i in range(1, len(words)):
+            c = counts[1][words[i]]
+            known += c > 0
+            p = (c + 0.5) / (n + 0.5 * (v + 1))
+            base += math.log10(p)
+            for k in range(2, order + 1):
+                if i - k + 1 >= 0:
+                    context = tuple(words[i - k + 1 : i])
+                    seen = counts[1][context[0]] if k == 2 else counts[k - 1][context]
+                    if seen:
+                        p = (counts[k][(*context, words[i])] + strength * p) / (seen + strength)
+            score += math.log10(p)
+        out.append((name, len(words) - 1, known, n, base, score))
+    return out
+
+
+def _rows():
+    rnd = random.Random(5)
+    words = ["the", "The", "of", "é", "É"] + [f"w{i}" for i in range(60)]
+    rows = [(i, rnd.choice([" ", "\n", " \t "]).join(rnd.choices(words, k=rnd.randint(0, 60))), rnd.random() < 0.8) for i in range(80)]
+    rows += [(200, None, True), (201, "", False), (202, " \n", None), (3, rows[3][1], True), (203, "unseen here", False)]
+    return rows
+
+
+@pytest.mark.parametrize(("order", "chunk_bytes"), [(1, 1 << 20), (2, 1 << 20), (2, 500), (3, 900)])
+def test_against_plain_python(spark, order, chunk_bytes):
+    rows = _rows()
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, train boolean, score int").repartition(3)
+    got = score_documents(docs, F.col("train"), order=order, strength=7.0, chunk_bytes=chunk_bytes)
+    assert got.columns == ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    got, want = sorted(tuple(r) for r in got.collect()), sorted(brute(rows, order, 7.0))
+    assert [r[:4] for r in got] == [r[:4] for r in want]
+    for g, w in zip(got, want):
+        assert g[4:] == pytest.approx(w[4:], rel=1e-9)
+
+
+def test_probabilities_of_a_state_sum_to_one(spark):
+    # All words and one unseen, after one context: arcs and failure arcs together.
+    train = [(0, "a b a c a b d", True)]
+    vocabulary = ["a", "b", "c", "d", "never-seen"]
+    probes = [(k + 1, f"a {w}", False) for k, w in enumerate(vocabulary)]
+    rows = train + probes + [(9, "a", False)]
+    want = {r[0]: r for r in brute(rows, 2, 50.0)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    got = {r.doc_id: r.score for r in score_documents(docs, F.col("train")).collect()}
+    assert all(got[k] == pytest.approx(want[k][5]) for k in got)
+
+
+def test_no_rows_and_no_training_rows(spark):
+    schema = "doc_id long, text string"
+    assert score_documents(spark.createDataFrame([], schema), F.lit(True)).count() == 0
+    docs = spark.createDataFrame([(1, "a b"), (None, "a b")], schema)
+    rows = score_documents(docs, F.lit(False)).collect()
+    assert {(r.n_tokens, r.n_known, r.train_tokens) for r in rows} == {(3, 0, 0)}
+    assert {r.score for r in rows} == {0.0}  # 0.5 / (0.5 * 1) for every token
+
+
+def test_query_splits_by_crc(spark):
+    from logsieve.llm.queries import op10_lm_scoring
+
+    rows = op10_lm_scoring(spark, "/root/testdata/sf0.001").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 1) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)

@@ -1,0 +1,59 @@
+"""The corpus pipeline stage by stage, each against a brute-force version."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import __spark_entry__ as E
+import corpus_pipeline as P
+from logsieve.llm.simhash import fingerprint
+from tests.llm.test_decontam import brute
+from tests.llm.test_simhash import brute_components
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_follow_each_other(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert [n for n, _ in P.STAGES] == ["language_id", "simhash_near_dedup", "decontaminate", "mix_sources", "token_shards"]
+    extra = spark.createDataFrame([(10**6, None, "en", "s", 0), (10**6 + 1, "12 34", "en", "s", 5)], docs.schema)
+    kept = P.language_id(spark, docs.union(extra), SF)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()}
+
+    rows = kept.collect()
+    groups = brute_components([r.doc_id for r in rows], [fingerprint(r.text) for r in rows])
+    dedup = P.near_dups(spark, kept, SF)
+    assert dedup.columns == docs.columns
+    assert {r.doc_id for r in dedup.collect()} == set(groups.values())
+
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    clean = P.decontaminate(spark, dedup, SF)
+    found = {r.doc_id: brute(r.text, items) for r in dedup.collect()}
+    assert clean.columns == docs.columns
+    assert {r.doc_id for r in clean.collect()} == {d for d, (n, hit, _) in found.items() if not hit or 20 * hit < n}
+
+    mixed = P.mix(spark, clean, SF)
+    assert mixed.columns == docs.columns and 0 < mixed.count() < clean.count()
+    words = lambda df: sum(len(r.text.encode().split()) for r in df.collect())
+    assert 0.75 * words(clean) < words(mixed) < 0.95 * words(clean)
+
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
+    start, want = 0, []
+    for r in sorted(mixed.collect(), key=lambda r: r.doc_id):
+        ids = np.array([*encode(r.text, add_special_tokens=False).ids, 0], dtype="<u4")
+        want.append((r.doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in P.token_shards(spark, mixed, SF).collect()) == want
+    # run() is the stages one after another, and the registered query.
+    assert sorted(tuple(r)[0] for r in P.run(spark, SF).collect()) == [w[0] for w in want]
+    assert "pipeline" in E.queries()
+
+
+def test_empty_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in P.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0

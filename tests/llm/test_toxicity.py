@@ -1,0 +1,65 @@
+"""Toxicity chain: held-out labels, out-of-fold chaining, odd rows."""
+
+from itertools import product
+
+import numpy as np
+
+from logsieve.llm import toxicity
+from logsieve.llm.queries import op6_toxicity
+from logsieve.llm.toxicity import ToxicityChain, fit_chain, fit_linear, score_toxicity, text_features
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_on_rows_it_was_not_fitted_on(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = docs.join(labels, "doc_id").selectExpr("doc_id", "text", "1 - quality as junk", "toxic")
+    chain = fit_chain(rows.where("doc_id % 2 = 1"), ["junk", "toxic"])
+    held = score_toxicity(rows.where("doc_id % 2 = 0").withColumnRenamed("toxic", "label"), chain).collect()
+    hits = [r.toxic for r in held if r.label]
+    assert len(hits) > 100 and sum(hits) >= 0.9 * len(hits)
+    assert sum(r.toxic for r in held if not r.label) <= 0.01 * len(held)
+
+
+def test_sparse_model_learns_the_telling_words():
+    rng = np.random.default_rng(0)
+    y, names = rng.integers(0, 2, 300), ["".join(c) for c in product("abcdefghijklmno", repeat=2)]
+    rows = [text_features(" ".join(names[x] for x in rng.integers(0, 200, 30)) + (" zzbad" if t else "")) for t in y]
+    model = fit_linear(rows, np.zeros((300, 0)), y.astype(float), np.ones(300))
+    assert (np.array([model.logit(r, np.zeros(0)) > 0 for r in rows]) == y).mean() > 0.95
+    assert len(model.features) < 0.3 * len(np.unique(np.concatenate(rows)))
+
+
+def test_later_categories_use_earlier_probabilities():
+    rng = np.random.default_rng(1)
+    y = rng.integers(0, 2, 400)
+    earlier = np.c_[np.clip(y + rng.normal(size=400) * 0.2, 0, 1)]
+    model = fit_linear([np.zeros(0, np.uint32)] * 400, earlier, y.astype(float), np.ones(400))
+    assert model.earlier[0] > 0.5
+    chain = ToxicityChain(["a", "b"])
+    chain.models = [fit_linear([np.zeros(0, np.uint32)] * 400, np.zeros((400, 0)), y.astype(float), np.ones(400)), model]
+    assert chain.predict(np.zeros(0, np.uint32)).shape == (2,)
+
+
+def test_odd_rows_and_no_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "WORDS", 5)
+    text = [("good calm words " * 3 + str(i), 0, 0) for i in range(40)] + [(f"vile slur words {i}", 0, 1) for i in range(40)]
+    rows = spark.createDataFrame(text + [(None, 1, 1), ("x", None, 1), ("y", 1, None)], "text string, junk int, toxic int")
+    docs = spark.createDataFrame(
+        [(1, "a vile slur", "q"), (1, "a vile slur", "q"), (2, None, "q"), (3, "", "q"), (None, "good calm", "q")],
+        "doc_id long, text string, TOXIC string",
+    )
+    got = score_toxicity(docs, fit_chain(rows, ["junk", "toxic"]))
+    assert got.columns == ["doc_id", "text", "p_junk", "p_toxic", "toxic"]
+    assert [r.toxic for r in got.collect()] == [True, True, False, False, False]
+    none = score_toxicity(docs, fit_chain(rows.limit(0), ["toxic"])).collect()
+    assert {(r.p_toxic, r.toxic) for r in none} == {(0.5, False)}
+    assert score_toxicity(docs.limit(0), fit_chain(rows, ["toxic"])).count() == 0
+
+
+def test_query_covers_all_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    got = op6_toxicity(spark, sf)
+    assert got.columns == ["doc_id", "p_junk", "p_toxic", "toxic"]
+    assert got.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
