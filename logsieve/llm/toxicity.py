@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from logsieve.llm.common import staged, without
 
 #: Labelled rows that each combination of labels gives to the training sample, at most.
-PER_COMBINATION = 1000
+PER_COMBINATION = 1500
 FOLDS = 3
 #: Lengths of the word beginnings that are features beside the word itself.
 PREFIXES = (3, 4, 5, 6)
