@@ -11,10 +11,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsieve.llm.common import staged
+from logsieve.llm.common import set_aside, staged
 from logsieve.llm.decontam import drop_contaminated
+from logsieve.llm.langid import ADDED as LANGUAGE_COLUMNS
 from logsieve.llm.langid import fit_languages, identify_languages, rejected
-from logsieve.llm.mixing import ADDED, mix_sources
+from logsieve.llm.mixing import ADDED as MIX_COLUMNS
+from logsieve.llm.mixing import mix_sources
 from logsieve.llm.simhash import keep_one_of_each
 from logsieve.llm.wavelet import read_token_shards, write_token_shards
 from logsieve.sources import scratch_path
@@ -35,7 +37,8 @@ def mix_levels() -> dict[str, Column]:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language is found (no letter) go."""
     model = fit_languages(docs.select("text", "lang"))
-    return identify_languages(docs, model).where(~rejected()).select(*docs.columns)
+    docs, own = set_aside(docs, LANGUAGE_COLUMNS)
+    return identify_languages(docs, model).where(~rejected()).select(*own)
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +53,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of a mixture of four fifths of the tokens, each at most once."""
-    mixed = mix_sources(docs, mix_levels(), MIX_WEIGHTS, budget_share=(4, 5), max_epochs=1)
-    return mixed.drop(*ADDED).select(*docs.columns)
+    docs, own = set_aside(docs, MIX_COLUMNS)
+    return mix_sources(docs, mix_levels(), MIX_WEIGHTS, budget_share=(4, 5), max_epochs=1).select(*own)
 
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Iterable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsieve.sources import scratch_path
@@ -30,6 +30,14 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, list[Column]]:
+    """`df` with the columns called like one of `names` renamed, and the list
+    that selects all of its columns again under their own names."""
+    taken = {n.lower() for n in names}
+    marks = {c: f"_aside_{k}" for k, c in enumerate(df.columns) if c.lower() in taken}
+    return df.withColumnsRenamed(marks), [F.col(f"`{marks.get(c, c)}`").alias(c) for c in df.columns]
+
+
 def text_bytes(df: DataFrame, text_col: str) -> int:
     """Bytes of all texts, summed by Spark."""
     return df.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.llm.common import text_bytes, without
+from logsieve.llm.common import set_aside, text_bytes, without
 
 #: Words of a lower-cased UTF-8 text: digits, letters and all non-ASCII bytes.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -127,10 +127,8 @@ def contaminated(share: int = 20) -> Column:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """`docs` less the contaminated documents; all other rows unchanged."""
-    marks = {c: f"_kept_{k}" for k, c in enumerate(docs.columns) if c.lower() in _ADDED.names}
-    scanned = scan_benchmark(docs.withColumnsRenamed(marks), benchmark, **options)
-    kept = scanned.where(~contaminated())
-    return kept.select(*[F.col(f"`{marks.get(c, c)}`").alias(c) for c in docs.columns])
+    docs, own = set_aside(docs, _ADDED.names)
+    return scan_benchmark(docs, benchmark, **options).where(~contaminated()).select(*own)
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
@@ -142,10 +140,9 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **o
             at = batch.schema.get_field_index(text_col)
             yield batch.set_column(at, text_col, pa.array(map(_cut, texts, spans), pa.string()))
 
-    marks = {c: f"_kept_{k}" for k, c in enumerate(docs.columns) if c.lower() in _ADDED.names}
-    scanned = scan_benchmark(docs.withColumnsRenamed(marks), benchmark, text_col=text_col, **options)
-    done = scanned.mapInArrow(run, scanned.schema)
-    return done.select(*[F.col(f"`{marks.get(c, c)}`").alias(c) for c in docs.columns])
+    docs, own = set_aside(docs, _ADDED.names)
+    scanned = scan_benchmark(docs, benchmark, text_col=text_col, **options)
+    return scanned.mapInArrow(run, scanned.schema).select(*own)
 
 
 def _cut(text: str | None, spans) -> str | None:

@@ -32,6 +32,7 @@ ORDERS = (1, 2, 3, 4)
 #: Documents per language that the classifiers are fitted on, at most.
 PER_LANGUAGE = 400
 UNKNOWN = "und"
+ADDED = ["lang_pred", "score"]
 
 _LETTER = re.compile(r"[^\W\d_]")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -177,7 +178,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text_col: str = "t
     no language. Ties go to the language first in alphabetical order. Repeated
     rows give a row each; input columns named lang_pred or score are replaced.
     """
-    source = without(docs, ["lang_pred", "score"])
+    source = without(docs, ADDED)
     sent = source.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -52,6 +52,17 @@ def test_stages_follow_each_other(spark):
     assert "pipeline" in E.queries()
 
 
+def test_clashing_columns_keep_their_values(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr(
+        "*", "'own' as Score", "doc_id + 7 as n_tokens", "'x' as lang_pred", "doc_id as N_HIT", "2 as take_tokens"
+    )
+    want = {tuple(r) for r in docs.collect()}
+    for _, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert {tuple(r) for r in docs.collect()} <= want and docs.columns[5:] == [
+            "Score", "n_tokens", "lang_pred", "N_HIT", "take_tokens"]
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in P.STAGES:
