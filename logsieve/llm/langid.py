@@ -9,11 +9,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.llm.common import without
+from logsieve.llm.common import first_by_hash, without
 
 # Families of language codes. A code that is not listed is a family of its own.
 FAMILIES = {
@@ -82,13 +82,10 @@ def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 60) ->
 
 
 def training_sample(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """(text, lang): the `per_language` rows of each language that come first
-    in the order of a hash of the text. The hash, not the text, is ranked; a
-    language of many rows is cut down within each task before the shuffle."""
-    keyed = labelled.select("lang", F.xxhash64("text").alias("h")).distinct()
-    first = keyed.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    first = first.where(F.col("k") <= per_language).select("lang", "h")
-    rows = labelled.select("lang", "text", F.xxhash64("text").alias("h")).join(F.broadcast(first), ["lang", "h"])
+    """(text, lang): at most `per_language` texts of each language, those
+    that come first in the order of a hash of the text."""
+    rows = labelled.select("lang", "text", F.xxhash64("text").alias("h"))
+    rows = rows.join(F.broadcast(first_by_hash(rows, ["lang"], per_language)), ["lang", "h"])
     return rows.dropDuplicates(["lang", "h"]).select("text", "lang")
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsieve.llm.common import staged, without
+from logsieve.llm.common import first_by_hash, staged, without
 
 #: Labelled rows that each combination of labels gives to the training sample, at most.
 PER_COMBINATION = 1000
@@ -107,9 +107,7 @@ def _sample(labelled: DataFrame, categories: list[str], per_combination: int) ->
     """Rows first in the order of a hash of the text within each combination
     of labels; `weight` makes up for what was left out."""
     rows = labelled.select("text", *categories, F.xxhash64("text").alias("h"))
-    first = rows.select(*categories, "h").distinct()
-    rank = Window.partitionBy(*categories).orderBy("h")
-    first = first.withColumn("k", F.row_number().over(rank)).where(F.col("k") <= per_combination).drop("k")
+    first = first_by_hash(rows, categories, per_combination)
     sizes = rows.groupBy(*categories).agg(F.count(F.lit(1)).alias("size"))
     taken = rows.join(F.broadcast(first), [*categories, "h"]).dropDuplicates([*categories, "h"])
     taken = taken.join(F.broadcast(sizes), categories)
