@@ -338,3 +338,36 @@ def read_token_shards(spark, path: str, id_col: str = "doc_id") -> DataFrame:
 
     out = rows.mapInArrow(run, f"id {kind}, start long, n_tokens long, ids_crc32 long")
     return out.withColumnRenamed("id", id_col)
+
+
+def token_occurrences(spark, path: str, token: int) -> DataFrame:
+    """(position) of every `token` over all shards: its place among the ids of
+    the whole corpus, found by rank and select without decoding a shard."""
+    shards = spark.read.parquet(path)
+    starts = shard_starts(shards.select("part", "seq", "n_tokens"))
+    if shards.count() <= BROADCAST_SHARDS:
+        starts = F.broadcast(starts)
+    rows = shards.join(starts, ["part", "seq"]).select("wavelet", "start")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                start = batch.column("start")[k].as_py()
+                found = WaveletMatrix.from_bytes(batch.column("wavelet")[k].as_py()).occurrences(token)
+                yield pa.RecordBatch.from_pydict({"position": pa.array([start + at for at in found], pa.int64())})
+
+    return rows.mapInArrow(run, "position long")
+
+
+def token_counts(spark, path: str, tokens: list[int]) -> DataFrame:
+    """(token, n) of each of `tokens` over all shards, by rank."""
+    shards = spark.read.parquet(path).select("wavelet")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column("wavelet"):
+                matrix = WaveletMatrix.from_bytes(raw.as_py())
+                counts = [matrix.rank(t) for t in tokens]
+                yield pa.RecordBatch.from_pydict({"token": pa.array(tokens, pa.int64()), "n": pa.array(counts, pa.int64())})
+
+    return shards.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))

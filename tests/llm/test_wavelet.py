@@ -8,7 +8,14 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from logsieve.llm.wavelet import Encoder, WaveletMatrix, read_token_shards, write_token_shards
+from logsieve.llm.wavelet import (
+    Encoder,
+    WaveletMatrix,
+    read_token_shards,
+    token_counts,
+    token_occurrences,
+    write_token_shards,
+)
 from logsieve.sources import scratch_path
 
 
@@ -69,6 +76,14 @@ def test_shards_round_trip(spark):
         write_token_shards(docs, path, shard_tokens=tokens)
         got = sorted(tuple(r) for r in read_token_shards(spark, path).collect())
         assert got == _expected(sorted(rows))
+    # Counting and lookup go through the wavelet matrices, over all shards.
+    every = [i for n, t in sorted(rows) for i in [*Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(
+        t or "", add_special_tokens=False).ids, 0]]
+    rare = max(every)
+    places = sorted(r.position for r in token_occurrences(spark, path, rare).collect())
+    assert places == [k for k, i in enumerate(every) if i == rare]
+    counts = {r.token: r.n for r in token_counts(spark, path, [0, rare, 49999]).collect()}
+    assert counts == {0: every.count(0), rare: len(places), 49999: every.count(49999)}
     # Tokens are reached from one shard's file alone.
     shard = spark.read.parquet(path).orderBy("part", "seq").first()
     assert WaveletMatrix.from_bytes(shard.wavelet).rank(0) >= shard.n_docs
