@@ -103,7 +103,10 @@ def _blocks(placed: DataFrame, eps: float, k: int, size: int) -> DataFrame:
 def _gap(k: int) -> Column:
     """Squared distance of two intervals' boxes in the leading dimensions:
     no vectors of theirs are nearer, as a projection never moves them apart."""
-    sides = [F.greatest(F.lit(0.0), F.col("b.low")[i] - F.col("a.high")[i], F.col("a.low")[i] - F.col("b.high")[i]) for i in range(k)]
+    sides = [
+        F.greatest(F.lit(0.0), F.col("b.low")[i] - F.col("a.high")[i], F.col("a.low")[i] - F.col("b.high")[i])
+        for i in range(k)
+    ]
     return reduce(lambda x, y: x + y, [s * s for s in sides])
 
 
@@ -156,8 +159,9 @@ def _join_blocks(pairs: DataFrame, blocks: DataFrame, min_cosine: float) -> Data
     """(a, b, links): a spanning forest (a, b) of each pair of blocks' links,
     and with b null the number of vectors each node links to there."""
     data = blocks.select("block", "dim", "nodes", "copies", "vectors")
-    left = data.select(F.col("block").alias("block_a"), "dim", *[F.col(c).alias(f"{c}_a") for c in ("nodes", "copies", "vectors")])
-    right = data.select(F.col("block").alias("block_b"), *[F.col(c).alias(f"{c}_b") for c in ("nodes", "copies", "vectors")])
+    held = ("nodes", "copies", "vectors")
+    left = data.select(F.col("block").alias("block_a"), "dim", *[F.col(c).alias(f"{c}_a") for c in held])
+    right = data.select(F.col("block").alias("block_b"), *[F.col(c).alias(f"{c}_b") for c in held])
     rows = pairs.join(left, "block_a").join(right, "block_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

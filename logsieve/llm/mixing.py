@@ -71,8 +71,9 @@ def leaf_budgets(
             nodes = nodes.withColumns({"up": F.lit("[]"), "b": F.lit(min(held, budget)).cast("decimal(38,0)")})
         else:
             nodes = nodes.withColumn("up", _path(own[:-1])).join(spread, "up")
+        by_name = F.col(own[-1]).asc_nulls_last()
         by_need = Window.partitionBy("up").orderBy(
-            (F.col("w") == 0), (F.col("cap").cast("double") / F.when(F.col("w") > 0, F.col("w")).cast("double")), "path"
+            (F.col("w") == 0), (F.col("cap").cast("double") / F.when(F.col("w") > 0, F.col("w")).cast("double")), by_name
         )
         before = F.coalesce(F.sum("cap").over(by_need.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         after = F.sum("w").over(by_need.rowsBetween(0, Window.unboundedFollowing))
@@ -82,7 +83,7 @@ def leaf_budgets(
         nodes = nodes.withColumns({
             "left": F.expr("b") - F.sum(F.expr("if(full, cap, 0)")).over(family),
             "share": F.sum(F.expr("if(full, 0, w)")).over(family),
-            "upto": F.sum(F.expr("if(full, 0, w)")).over(family.orderBy("path").rowsBetween(Window.unboundedPreceding, 0)),
+            "upto": F.sum(F.expr("if(full, 0, w)")).over(family.orderBy(by_name).rowsBetween(Window.unboundedPreceding, 0)),
         })
         nodes = nodes.withColumns({c: F.col(c).cast("decimal(38,0)") for c in ("left", "share", "upto")})
         given = F.expr(

@@ -66,19 +66,19 @@ def op4_mix_sources(share: tuple[int, int] = (3, 4), epochs: int = 2, seed: int
     def given(nodes: str, parent: str, up: str, keys: str) -> str:
         on = " and ".join(f"c.{k} is not distinct from p.{k}" for k in up.split(",") if k) or "true"
         part = "partition by " + up if up else "partition by 1"
-        columns = ", ".join(f"c.{k}" for k in keys.split(","))
+        columns, name = ", ".join(f"c.{k}" for k in keys.split(",")), keys.split(",")[-1] + " nulls last"
         return f"""
 select {keys}, (case when full_ then cap when share = 0 then 0
        else (l * upto) // share - (l * (upto - w)) // share end)::hugeint as b
 from (select *, b - sum(case when full_ then cap else 0 end) over ({part}) as l,
              sum(case when full_ then 0 else w end) over ({part}) as share,
-             sum(case when full_ then 0 else w end) over ({part} order by path rows unbounded preceding) as upto
+             sum(case when full_ then 0 else w end) over ({part} order by {name} rows unbounded preceding) as upto
       from (select *, w > 0 and cap * after_ <= w * (b - before_) as full_
-            from (select *, coalesce(sum(cap) over ({part} order by w = 0, cap::double / nullif(w, 0)::double, path
+            from (select *, coalesce(sum(cap) over ({part} order by w = 0, cap::double / nullif(w, 0)::double, {name}
                                      rows between unbounded preceding and 1 preceding), 0) as before_,
-                         sum(w) over ({part} order by w = 0, cap::double / nullif(w, 0)::double, path
+                         sum(w) over ({part} order by w = 0, cap::double / nullif(w, 0)::double, {name}
                                       rows between current row and unbounded following) as after_
-                  from (select {columns}, c.cap, c.w, p.b, concat_ws('/', {columns}) as path from {nodes} c join {parent} p on {on}) t0
+                  from (select {columns}, c.cap, c.w, p.b from {nodes} c join {parent} p on {on}) t0
                  ) t1) t2) t3"""
 
     domain = corpus_pipeline.MIX_DOMAIN_SQL

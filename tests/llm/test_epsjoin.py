@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 
 from logsieve.llm.epsjoin import embedding_near_dups, near_blocks, valid_vector
-from tests.llm.test_simhash import brute_components  # noqa: F401
 
 
 def brute(rows, min_cosine=0.98):
