@@ -89,7 +89,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     labels = labels.select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
-    chain = fit_chain(docs.select("doc_id", "text").join(labels, "doc_id"), ["junk", "toxic"])
+    chain = fit_chain(docs, labels, ["junk", "toxic"])
     return score_toxicity(docs.select("doc_id", "text"), chain).select("doc_id", "p_junk", "p_toxic", "toxic")
 
 

@@ -103,17 +103,23 @@ def fit_linear(rows: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, weigh
     return Linear(names[held], w[held], w[width : width + extra], float(w[-1]))
 
 
-def _sample(labelled: DataFrame, categories: list[str], per_combination: int) -> DataFrame:
-    """Rows first in the order of a hash of the text within each combination
-    of labels; `weight` makes up for what was left out."""
-    rows = labelled.select("text", *categories, F.xxhash64("text").alias("h"))
-    first = first_by_hash(rows, categories, per_combination)
+def _sample(docs: DataFrame, labels: DataFrame, categories: list[str], per_combination: int) -> DataFrame:
+    """(id, text, h, categories, weight): at most `per_combination` texts of
+    each combination of labels, first in the order of a hash of the text;
+    `weight` makes up for what was left out.
+
+    Only ids, hashes and labels are joined and staged. The texts of the
+    sample are then picked from `docs` by its ids, which are broadcast.
+    """
+    hashes = docs.select("id", F.xxhash64("text").alias("h"))
+    rows = staged(hashes.join(labels, "id"), "toxicity-labels")
     sizes = rows.groupBy(*categories).agg(F.count(F.lit(1)).alias("size"))
-    taken = rows.join(F.broadcast(first), [*categories, "h"]).dropDuplicates([*categories, "h"])
-    taken = taken.join(F.broadcast(sizes), categories)
-    return taken.withColumn("weight", F.greatest(
-        F.lit(1.0), F.sqrt(F.col("size") / F.count(F.lit(1)).over(Window.partitionBy(*categories)))
-    ))
+    taken = rows.join(F.broadcast(first_by_hash(rows, categories, per_combination)), [*categories, "h"])
+    taken = taken.dropDuplicates([*categories, "h"]).join(F.broadcast(sizes), categories)
+    own = F.count(F.lit(1)).over(Window.partitionBy(*categories))
+    taken = taken.withColumn("weight", F.greatest(F.lit(1.0), F.sqrt(F.col("size") / own))).drop("size")
+    texts = docs.select("id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(taken), ["id", "h"])
+    return texts.dropDuplicates([*categories, "h"])
 
 
 class ToxicityChain:
@@ -159,11 +165,13 @@ def _fitter(k: int, known: dict[int, list[float]], folds: int):
 
 
 def fit_chain(
-    labelled: DataFrame, categories: list[str], per_combination: int = PER_COMBINATION, folds: int = FOLDS
+    docs: DataFrame, labels: DataFrame, categories: list[str], per_combination: int = PER_COMBINATION,
+    folds: int = FOLDS, id_col: str = "doc_id", text_col: str = "text",
 ) -> ToxicityChain:
-    """Fit on `labelled`: text and a 0/1 column for each of `categories`.
+    """Fit on the texts of `docs` that `labels` gives a 0/1 value for each of
+    `categories`.
 
-    Rows with a null text or label are left out; the sample holds at most
+    Rows with a null id, text or label are left out; the sample holds at most
     `per_combination` rows of each combination of labels. Category k is
     learned from the text and the probabilities of the categories before it;
     in training these are out-of-fold predictions, so that a later model
@@ -173,8 +181,8 @@ def fit_chain(
     the sample. Without rows every probability is one half.
     """
     chain = ToxicityChain(categories)
-    rows = labelled.where(" and ".join(f"`{c}` is not null" for c in ["text", *categories]))
-    rows = rows.select("text", *[F.col(c).cast("int").alias(c) for c in categories])
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
+    labels = labels.select(F.col(id_col).alias("id"), *[F.col(c).cast("int").alias(c) for c in categories]).dropna()
     made = "row long, fold int, weight double, y array<int>, features binary"
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +191,7 @@ def fit_chain(
             keep = batch.select(["row", "fold", "weight", "y"])
             yield keep.append_column("features", pa.array(features, pa.binary()))
 
-    sample = _sample(rows, categories, per_combination)
+    sample = _sample(docs, labels, categories, per_combination)
     sample = sample.select(
         F.xxhash64("h", *categories).alias("row"), F.pmod(F.hash("h"), F.lit(folds)).cast("int").alias("fold"),
         "weight", F.array(*categories).alias("y"), "text",

@@ -15,7 +15,7 @@ def test_on_rows_it_was_not_fitted_on(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = docs.join(labels, "doc_id").selectExpr("doc_id", "text", "1 - quality as junk", "toxic")
-    chain = fit_chain(rows.where("doc_id % 2 = 1"), ["junk", "toxic"])
+    chain = fit_chain(docs.where("doc_id % 2 = 1"), labels.selectExpr("doc_id", "1 - quality as junk", "toxic"), ["junk", "toxic"])
     held = score_toxicity(rows.where("doc_id % 2 = 0").withColumnRenamed("toxic", "label"), chain).collect()
     hits = [r.toxic for r in held if r.label]
     assert len(hits) > 100 and sum(hits) >= 0.8 * len(hits)
@@ -45,17 +45,18 @@ def test_later_categories_use_earlier_probabilities():
 def test_odd_rows_and_no_rows(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "WORDS", 5)
     text = [("good calm words " * 3 + str(i), 0, 0) for i in range(40)] + [(f"vile slur words {i}", 0, 1) for i in range(40)]
-    rows = spark.createDataFrame(text + [(None, 1, 1), ("x", None, 1), ("y", 1, None)], "text string, junk int, toxic int")
+    rows = text + text[:9] + [(None, 1, 1), ("x", None, 1), ("y", 1, None)]
+    rows = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)] + [(None, "z", 1, 1)], "doc_id long, text string, junk int, toxic int")
     docs = spark.createDataFrame(
         [(1, "a vile slur", "q"), (1, "a vile slur", "q"), (2, None, "q"), (3, "", "q"), (None, "good calm", "q")],
         "doc_id long, text string, TOXIC string",
     )
-    got = score_toxicity(docs, fit_chain(rows, ["junk", "toxic"]))
+    got = score_toxicity(docs, fit_chain(rows, rows, ["junk", "toxic"]))
     assert got.columns == ["doc_id", "text", "p_junk", "p_toxic", "toxic"]
     assert [r.toxic for r in got.collect()] == [True, True, False, False, False]
-    none = score_toxicity(docs, fit_chain(rows.limit(0), ["toxic"])).collect()
+    none = score_toxicity(docs, fit_chain(rows, rows.limit(0), ["toxic"])).collect()
     assert {(r.p_toxic, r.toxic) for r in none} == {(0.5, False)}
-    assert score_toxicity(docs.limit(0), fit_chain(rows, ["toxic"])).count() == 0
+    assert score_toxicity(docs.limit(0), fit_chain(rows, rows, ["toxic"])).count() == 0
 
 
 def test_query_covers_all_documents(spark):
