@@ -42,16 +42,16 @@ def first_by_hash(rows: DataFrame, keys: list[str], per_key: int) -> DataFrame:
     """(keys, h) of at most `per_key` distinct values of the hash `h` for each
     value of `keys` (not null): those that come first by their low 31 bits.
 
-    Rows are counted per key first, and of a key that has more than needed
-    only the share of the hash range that holds eight times `per_key` rows is
-    kept. So a key that holds a third of all rows sends a few thousand hashes
-    to the task that ranks them, whatever the table's size. A key most of
-    whose rows are copies may give fewer.
+    Distinct hashes are counted per key first, and of a key that has more than
+    needed only the share of the hash range that should hold eight times
+    `per_key` is kept. So a key that holds a third of all rows sends a few
+    thousand hashes to the task that ranks them, whatever the table's size.
     """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    every = rows.select(*keys, "h").distinct()
+    sizes = every.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     low = F.pmod(F.col("h"), F.lit(1 << 31))
-    held = rows.select(*keys, "h").join(F.broadcast(sizes), keys)
-    held = held.where(low < F.lit(8.0 * per_key * (1 << 31)) / F.col("_size")).select(*keys, "h").distinct()
+    held = every.join(F.broadcast(sizes), keys)
+    held = held.where(low < F.lit(8.0 * per_key * (1 << 31)) / F.col("_size"))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(low, "h"))
     return held.withColumn("_k", rank).where(F.col("_k") <= per_key).drop("_k")
 

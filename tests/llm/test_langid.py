@@ -67,3 +67,5 @@ def test_sample_is_bounded_and_whole_below_the_bound(spark):
     rows = [(f"text {i}", "a") for i in range(50)] + [(f"t {i}", "b") for i in range(3)] + [("text 1", "a")]
     sample = training_sample(spark.createDataFrame(rows, "text string, lang string"), 10)
     assert sorted(r.lang for r in sample.collect()) == ["a"] * 10 + ["b"] * 3
+    copies = spark.createDataFrame([("same", "a")] * 5000 + [("other", "a"), ("text", "b")], "text string, lang string")
+    assert sorted(r.text for r in training_sample(copies, 5).collect()) == ["other", "same", "text"]
