@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,12 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def each(column: pa.Array) -> Iterator:
+    """The values of an Arrow column one by one: a batch of texts never stands
+    in memory a second time as Python strings."""
+    return (value.as_py() for value in column)
+
+
 def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, list[Column]]:
     """`df` with the columns called like one of `names` renamed, and the list
     that selects all of its columns again under their own names."""

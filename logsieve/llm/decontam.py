@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.llm.common import set_aside, text_bytes, without
+from logsieve.llm.common import each, set_aside, text_bytes, without
 
 #: Words of a lower-cased UTF-8 text: digits, letters and all non-ASCII bytes.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -101,7 +101,7 @@ def _scanner(windows, text_col: str, first: bool):
         found = windows.value
         for batch in batches:
             made: list[list] = [[], [], [], []]
-            for k, text in enumerate(batch.column(text_col).to_pylist()):
+            for k, text in enumerate(each(batch.column(text_col))):
                 words = words_of(text)
                 hit, items = found.hits(words)
                 if not first:
@@ -136,7 +136,7 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **o
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, spans = batch.column(text_col).to_pylist(), batch.column("hit_spans").to_pylist()
+            texts, spans = each(batch.column(text_col)), each(batch.column("hit_spans"))
             at = batch.schema.get_field_index(text_col)
             yield batch.set_column(at, text_col, pa.array(map(_cut, texts, spans), pa.string()))
 

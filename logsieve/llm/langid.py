@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.llm.common import first_by_hash, without
+from logsieve.llm.common import each, first_by_hash, without
 
 # Families of language codes. A code that is not listed is a family of its own.
 FAMILIES = {
@@ -182,7 +182,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text_col: str = "t
         own = sent.value
         for batch in batches:
             found = []
-            for text in batch.column(text_col).to_pylist():
+            for text in each(batch.column(text_col)):
                 x = features(text) if own.languages else None
                 found.append(own.predict(x) if x is not None else (UNKNOWN, 0.0))
             names, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())

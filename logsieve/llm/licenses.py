@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logsieve.llm.common import each
+
 # License notices, as their licenses word them.
 TEMPLATES = {
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
@@ -170,7 +172,7 @@ def scan_licenses(
                 holders[w] = holders.get(w, 0) | 1 << bit
         for batch in batches:
             rows, id_type = [], batch.column("id").type
-            for name, text in zip(*(batch.column(c).to_pylist() for c in ("id", "text"))):
+            for name, text in zip(each(batch.column("id")), each(batch.column("text"))):
                 words = words_of(text)
                 bits = np.fromiter((holders.get(w, 0) for w in words), np.int64, len(words))
                 found = []

@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logsieve.llm.common import staged
+from logsieve.llm.common import each, staged
 
 #: Text bytes of a chunk of documents that is tokenised and scored together.
 CHUNK_BYTES = 8 << 20
@@ -104,7 +104,7 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
 
         for batch in batches:
             id_type = batch.column("id").type
-            for name, text, use, part in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            for name, text, use, part in zip(*(each(batch.column(c)) for c in range(4))):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 ids.append(name)
                 train.append(use)

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsieve.llm.common import staged
+from logsieve.llm.common import each, staged
 from logsieve.llm.components import connected_components, local_roots
 
 #: Fingerprints of a block; a larger bucket is compared block by block.
@@ -54,7 +54,7 @@ def simhash_fingerprints(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle, seed) for t in batch.column("text").to_pylist()], dtype=np.uint64)
+            fps = np.array([fingerprint(t, shingle, seed) for t in each(batch.column("text"))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
 
     kind = source.schema["id"].dataType.simpleString()

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsieve.llm.common import first_by_hash, staged, without
+from logsieve.llm.common import each, first_by_hash, staged, without
 
 #: Labelled rows that each combination of labels gives to the training sample, at most.
 PER_COMBINATION = 1000
@@ -187,7 +187,7 @@ def fit_chain(
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            features = [text_features(t).tobytes() for t in batch.column("text").to_pylist()]
+            features = [text_features(t).tobytes() for t in each(batch.column("text"))]
             keep = batch.select(["row", "fold", "weight", "y"])
             yield keep.append_column("features", pa.array(features, pa.binary()))
 
@@ -246,7 +246,7 @@ def score_toxicity(
 
         for batch in batches:
             out = []
-            for text in batch.column(text_col).to_pylist():
+            for text in each(batch.column(text_col)):
                 ids = {i for w in set(_WORD.findall((text or "").lower())) for i in told(w)}
                 p = own.predict(np.array(sorted(ids), dtype=np.uint32)) if own.models else np.full(len(names), 0.5)
                 out.append([*p, bool(text) and bool(own.models) and p[-1] >= threshold])
