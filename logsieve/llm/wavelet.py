@@ -6,6 +6,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logsieve.llm.common import each
 
 #: Token ids of a shard, unless its last document is longer.
 SHARD_TOKENS = 1 << 19
@@ -21,7 +23,9 @@ RANK_STEP = 512
 #: Shards up to which their starts are broadcast to the readers.
 BROADCAST_SHARDS = 1 << 20
 #: Distinct pieces of a generation that a worker remembers the ids of.
-PIECES = 500_000
+PIECES = 250_000
+#: Of these, how many it keeps when its task has ended.
+KEPT_PIECES = 50_000
 
 _MAGIC = b"WMTX"
 
@@ -181,6 +185,13 @@ class _Pieces(dict):
         self[piece] = found
         return found
 
+    def trim(self) -> None:
+        """Keep the pieces met first, which are mostly the frequent ones."""
+        kept = dict(islice(self.items(), KEPT_PIECES))
+        self.older = {}
+        self.clear()
+        self.update(kept)
+
 
 class Encoder:
     """Ids of whole texts by the `tokenizers` library, as little-endian u32.
@@ -281,7 +292,7 @@ def write_token_shards(
 
         for batch in batches:
             id_type = batch.column("id").type
-            for name, text, part in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "part"))):
+            for name, text, part in zip(*(each(batch.column(c)) for c in ("id", "text", "part"))):
                 raw = own.encode(text)
                 tokens += [raw, end]
                 ids.append(name)
@@ -292,6 +303,7 @@ def write_token_shards(
                     ids, lengths, tokens, held, seq = [], [], [], 0, seq + 1
         if ids:
             yield shard()
+        own.pieces.trim()
 
     ranges.mapInArrow(run, SHARD_SCHEMA.format(id=kind)).write.option("compression", "uncompressed").parquet(path)
 
