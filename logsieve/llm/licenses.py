@@ -47,6 +47,7 @@ TEMPLATES = {
         "substantial portions of the Software."
     ),
     "all-rights-reserved": "Copyright. All rights reserved. No part of this work may be reproduced without permission.",
+    "all-rights-reserved-line": "All rights reserved.",
 }
 
 _WORD = re.compile(r"[^\W_]+(?:[.\-'/][^\W_]+)*")

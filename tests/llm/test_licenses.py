@@ -1,6 +1,7 @@
 """License scans: alignment against brute force, planted notices."""
 
 import random
+import re
 
 from logsieve.llm.licenses import TEMPLATES, patience_alignment, scan_licenses, words_of
 
@@ -71,3 +72,24 @@ def test_odd_rows(spark):
     assert next(r for r in got if r.doc_id == 6).start_word == 60_000
     assert _scan(spark, []).count() == 0
     assert _scan(spark, rows, templates={"none": "", "own": "x x x"}, share=1.0).where("doc_id = 6").count() == 20_000
+
+
+def test_license_lines_of_the_given_documents(spark):
+    """What a plain text search finds in the table, the scan reports, and no more."""
+    lines = {
+        "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
+        "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
+        "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
+        "MIT-line": "Released under the MIT License.",
+        "all-rights-reserved-line": "All rights reserved.",
+    }
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = [
+        (r.doc_id, name) for r in docs.select("doc_id", "text").collect()
+        for name, line in lines.items() for _ in re.findall(re.escape(line), r.text or "", re.IGNORECASE)
+    ]
+    assert {name for _, name in want} == set(lines)
+    got = scan_licenses(docs).collect()
+    assert sorted((r.doc_id, r.license) for r in got) == sorted(want)
+    long_ = _scan(spark, [(1, TEMPLATES["all-rights-reserved"])]).collect()
+    assert [r.license for r in long_] == ["all-rights-reserved"]
