@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -110,30 +110,74 @@ def find_template(words: Sequence[str], template: Sequence[str], inside: np.ndar
     """(start, end, matched) of every place where the alignment covers `share`
     of the template; `inside` marks the words that the template has.
 
-    An occurrence lies in a window a quarter longer than the template, which
-    must hold `share` of it in such words, so other windows are not aligned.
+    An occurrence lies in a window a quarter longer than the template. It
+    begins with one of the template's first words and ends with one of its
+    last, else too few are left to match. Every such span whose longest common
+    subsequence with the template is long enough is a candidate; of those that
+    overlap, the ones apart with most matched words in all are aligned.
     """
     m = len(template)
-    need = -(-m * round(share * 1000) // 1000)
+    need = max(1, -(-m * round(share * 1000) // 1000))
     width = m + -(-m // 4)
-    if not m or len(words) < need:
+    if need > m or len(words) < need:
         return []
     sums = np.r_[0, np.cumsum(inside)]
     held = sums[np.minimum(np.arange(len(words)) + width, len(words))] - sums[:-1]
-    out, at = [], 0
-    starts = np.flatnonzero(held >= need)
-    while len(starts := starts[starts >= at]):
-        first = int(starts[0])
-        # The fullest window near by holds the occurrence whole.
-        first += int(held[first : first + width].argmax())
-        pairs = patience_alignment(words[first : first + width], template)
-        if len(pairs) >= need:
-            end = first + pairs[-1][0] + 1
-            out.append((first + pairs[0][0], end, len(pairs)))
-            at = end
-        else:
-            at = int(starts[0]) + 1
-    return out
+    heads, tails, places = set(template[: m - need + 1]), set(template[need - 1 :]), {}
+    for j, w in enumerate(template):
+        places[w] = places.get(w, 0) | 1 << j
+    out, group, reach = [], [], 0
+    for start in np.flatnonzero((held >= need) & (inside > 0)).tolist():
+        if words[start] not in heads:
+            continue
+        if start >= reach:
+            out += _most_matched(words, template, group, need)
+            group = []
+        # Zeros of `row` are the length of the common subsequence so far.
+        row = full = (1 << m) - 1
+        for end, w in enumerate(words[start : start + width], start + 1):
+            if at := places.get(w):
+                both = row & at
+                row = (row + both | row - both) & full
+                if w in tails and (common := m - row.bit_count()) >= need:
+                    group.append((start, end, common))
+                    reach = max(reach, end)
+    return out + _most_matched(words, template, group, need)
+
+
+def _most_matched(words: Sequence[str], template: Sequence[str], spans: list[tuple], need: int) -> list[tuple]:
+    """Of spans (start, end, common), those apart with most matched words in
+    all, then of fewest words, then first; as (start, end, matched) of their
+    alignments. `common` is the most that an alignment can match: only spans
+    that are chosen by it are aligned, until all that are chosen have been."""
+    spans = sorted(spans, key=lambda s: (s[1], s[0]))
+    ends = [end for _, end, _ in spans]
+    before = [bisect_right(ends, start) for start, _, _ in spans]
+    most, aligned, rounds = [common for *_, common in spans], {}, 0
+    while True:
+        total = [0]
+        for k, (start, end, _) in enumerate(spans):
+            take = total[before[k]] + most[k] * (len(words) + 1) - (end - start) if most[k] else 0
+            total.append(max(take, total[-1]))
+        chosen, k = [], len(spans)
+        while k:
+            if total[k] == total[k - 1]:
+                k -= 1
+            else:
+                chosen.append(k - 1)
+                k = before[k - 1]
+        rounds += 1
+        short = False
+        for k in chosen if rounds < 4 else range(len(spans)):
+            if k not in aligned:
+                start, end, _ = spans[k]
+                pairs = patience_alignment(words[start:end], template)
+                found = len(pairs) if len(pairs) >= need else 0
+                aligned[k] = (start + pairs[0][0], start + pairs[-1][0] + 1, found) if found else None
+                short |= found < most[k]
+                most[k] = found
+        if not short:
+            return [aligned[k] for k in reversed(chosen)]
 
 
 def best_apart(found: list[tuple]) -> list[tuple]:

@@ -3,7 +3,9 @@
 import random
 import re
 
-from logsieve.llm.licenses import TEMPLATES, patience_alignment, scan_licenses, words_of
+import numpy as np
+
+from logsieve.llm.licenses import TEMPLATES, find_template, patience_alignment, scan_licenses, words_of
 
 
 def lcs(a, b):
@@ -93,3 +95,48 @@ def test_license_lines_of_the_given_documents(spark):
     assert sorted((r.doc_id, r.license) for r in got) == sorted(want)
     long_ = _scan(spark, [(1, TEMPLATES["all-rights-reserved"])]).collect()
     assert [r.license for r in long_] == ["all-rights-reserved"]
+
+
+def _find(words, template):
+    return find_template(words, template, np.array([w in template for w in words], dtype=np.int64), 0.8)
+
+
+def test_edited_notice_beside_an_exact_one(spark):
+    text = "Released under an MIT License. Released under the MIT License."
+    got = sorted(tuple(r)[1:5] for r in _scan(spark, [(1, text)]).collect())
+    assert got == [("MIT-line", 0, 5, 4), ("MIT-line", 5, 10, 5)]
+    notice = [f"t{i}" for i in range(78)]
+    edited = [*notice[:20], "x", *notice[21:]]
+    assert _find(edited + notice, notice) == [(0, 78, 77), (78, 156, 78)]
+    assert _find(notice + edited + edited + notice, notice) == [
+        (0, 78, 78), (78, 156, 77), (156, 234, 77), (234, 312, 78),
+    ]
+    for name, line in TEMPLATES.items():  # words of the template before it cut nothing off
+        words = words_of(line)
+        assert _find(["x", *words[1:3], "y", *words], words)[-1][1:] == (4 + len(words), len(words)), name
+
+
+def test_search_against_every_start():
+    rnd = random.Random(5)
+    for _ in range(400):
+        template = rnd.choices("abcdefghij", k=rnd.randint(3, 10))
+        words = []
+        for _ in range(rnd.randint(1, 4)):
+            copy = list(template)
+            for _ in range(rnd.choice([0, 0, 1, 2])):
+                at = rnd.randrange(len(copy))
+                copy[at : at + rnd.choice([0, 1])] = [rnd.choice("abcdefghijxyz")] * rnd.choice([0, 1])
+            words += copy + rnd.choices("abcxyz", k=rnd.choice([0, 0, 1, 3]))
+        m = len(template)
+        need, width = -(-m * 4 // 5), m + -(-m // 4)
+        most = [0] * (len(words) + 1)  # the most words that occurrences apart match in words[:end]
+        for end in range(1, len(words) + 1):
+            most[end] = most[end - 1]
+            for start in range(max(0, end - width), end):
+                n = len(patience_alignment(words[start:end], template))
+                if n >= need:
+                    most[end] = max(most[end], most[start] + n)
+        got = _find(words, template)
+        assert sum(n for _, _, n in got) == most[-1], (words, template)
+        assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+        assert all(n >= need and e - s <= width for s, e, n in got)
