@@ -50,6 +50,10 @@ TEMPLATES = {
     "all-rights-reserved-line": "All rights reserved.",
 }
 
+#: Other words that may stand between those of a template: half as many as it
+#: has, and of a short one so many.
+BETWEEN = 8
+
 _WORD = re.compile(r"[^\W_]+(?:[.\-'/][^\W_]+)*")
 
 
@@ -106,19 +110,21 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def find_template(words: Sequence[str], template: Sequence[str], inside: np.ndarray, share: float) -> list[tuple]:
+def find_template(
+    words: Sequence[str], template: Sequence[str], inside: np.ndarray, share: float, between: int | None = None
+) -> list[tuple]:
     """(start, end, matched) of every place where the alignment covers `share`
     of the template; `inside` marks the words that the template has.
 
-    An occurrence lies in a window a quarter longer than the template. It
-    begins with one of the template's first words and ends with one of its
-    last, else too few are left to match. Every such span whose longest common
+    An occurrence is at most `between` words longer than the template, a
+    quarter of it if None. It begins with one of the template's first words
+    and ends with one of its last, else too few are left to match. Every such span whose longest common
     subsequence with the template is long enough is a candidate; of those that
     overlap, the ones apart with most matched words in all are aligned.
     """
     m = len(template)
     need = max(1, -(-m * round(share * 1000) // 1000))
-    width = m + -(-m // 4)
+    width = m + (-(-m // 4) if between is None else between)
     if need > m or len(words) < need:
         return []
     sums = np.r_[0, np.cumsum(inside)]
@@ -192,14 +198,16 @@ def best_apart(found: list[tuple]) -> list[tuple]:
 
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] = TEMPLATES, share: float = 0.8,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", between: int = BETWEEN,
 ) -> DataFrame:
     """One row for each occurrence of a license text: (id_col, license,
     start_word, end_word, matched_words, template_words, coverage).
 
     Words are compared in lower case without punctuation around them. Places
     are word numbers of the whole text; coverage is the share of the
-    template's words that the patience alignment matches, `share` or more.
+    template's words that the patience alignment matches, `share` or more. An
+    occurrence may be longer than its template by half as many words, and by
+    `between` at least.
     Of occurrences that overlap only the one with most matched words stays, so
     a short notice inside a long one, or a sister license that differs in a
     word, is not reported beside it. Null and empty texts have no occurrence; repeated rows give their
@@ -222,7 +230,9 @@ def scan_licenses(
                 bits = np.fromiter((holders.get(w, 0) for w in words), np.int64, len(words))
                 found = []
                 for bit, (license_, template) in enumerate(wanted.items()):
-                    for start, end, matched in find_template(words, template, bits >> bit & 1, share):
+                    for start, end, matched in find_template(
+                        words, template, bits >> bit & 1, share, max(between, -(-len(template) // 2))
+                    ):
                         found.append((name, license_, start, end, matched, len(template)))
                 rows += best_apart(found)
             columns = list(zip(*rows)) or [()] * 6

@@ -140,3 +140,17 @@ def test_search_against_every_start():
         assert sum(n for _, _, n in got) == most[-1], (words, template)
         assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
         assert all(n >= need and e - s <= width for s, e, n in got)
+
+
+def test_other_words_between_those_of_a_notice(spark):
+    mit, notice = "Released under the terms and conditions of the MIT License", TEMPLATES["Apache-2.0-notice"].split()
+    apart = [w for k, w in enumerate(notice) for w in ([w, "x"] if k % 3 == 0 else [w])]  # a third more words
+    rows = [(1, mit), (2, " ".join(apart)), (3, f"{mit}. {mit}!"), (4, "All x rights y reserved."),
+            (5, "Released under the MIT" + " x" * 9 + " License, released"), (6, "released " + "x " * 10 + "under MIT license")]
+    got = sorted(tuple(r)[:5] for r in _scan(spark, rows).collect())
+    assert got == [
+        (1, "MIT-line", 0, 10, 5), (2, "Apache-2.0-notice", 0, len(words_of(" ".join(apart))), 79),
+        (3, "MIT-line", 0, 10, 5), (3, "MIT-line", 10, 20, 5), (4, "all-rights-reserved-line", 0, 5, 3),
+        (5, "MIT-line", 0, 4, 4),
+    ]
+    assert _scan(spark, rows, between=9).where("doc_id in (5, 6)").count() == 2
