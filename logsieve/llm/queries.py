@@ -110,7 +110,7 @@ def op9_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_held_out(5), F.lit(False))
-    scored = score_documents(docs, ~held_out)
+    scored = score_documents(docs, ~held_out, order=3)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

@@ -94,3 +94,14 @@ def test_query_splits_by_crc(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 1) for r in rows)
     held = [r for r in rows if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_query_reads_two_words_of_context(spark):
+    from logsieve.llm.lm import STRENGTH
+    from logsieve.llm.queries import op10_lm_scoring
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    rows = [(r.doc_id, r.text, zlib.crc32(str(r.doc_id).encode()) % 5 != 1) for r in docs]
+    want = {r[0]: r[5] for r in brute(rows, 3, STRENGTH)}
+    got = {r.doc_id: r.score for r in op10_lm_scoring(spark, "/root/testdata/sf0.001").collect()}
+    assert got == pytest.approx(want, rel=1e-9)
