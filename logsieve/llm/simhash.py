@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsieve.llm.common import each, staged
@@ -50,15 +50,21 @@ def simhash_fingerprints(
     Words are runs without ASCII white space, A-Z lower-cased; shingles keep
     repeats; a text of fewer words is one shingle; null or empty text is 0.
     """
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return _fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), shingle, seed)
+
+
+def _fingerprints(source: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """`source` with `fp` in place of `text`."""
+    carried = [c for c in source.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle, seed) for t in each(batch.column("text"))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
+            columns = [batch.column(c) for c in carried]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(fps.view(np.int64))], [*carried, "fp"])
 
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, fp long")
+    kinds = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in carried)
+    return source.mapInArrow(run, f"{kinds}, fp long")
 
 
 def band_masks(max_bits: int, distinct: int) -> list[int]:
@@ -169,11 +175,7 @@ def simhash_near_dups(
     ignored. No rows in, no rows out.
     """
     prints = staged(simhash_fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
-    classes = staged(prints.groupBy("fp").agg(F.min("id").alias("rep")), "classes")
-    linked = connected_components(hamming_links(classes, max_bits))
-    members = classes.join(linked, classes["fp"] == linked["node"], "left").select(
-        "fp", "rep", F.coalesce("component", "fp").alias("component")
-    )
+    members = _members(prints.groupBy("fp").agg(F.min("id").alias("rep")), max_bits)
     least = members.groupBy("component").agg(F.min("rep").alias("component_id"))
     ids = members.join(least, "component").select("fp", "component_id")
     return prints.join(ids, "fp").select(
@@ -181,22 +183,50 @@ def simhash_near_dups(
     )
 
 
+def _members(classes: DataFrame, max_bits: int) -> DataFrame:
+    """`classes`, a row for each fingerprint `fp`, with their `component`."""
+    classes = staged(classes, "classes")
+    linked = connected_components(hamming_links(classes, max_bits))
+    return classes.join(linked, classes["fp"] == linked["node"], "left").select(
+        *[classes[c] for c in classes.columns], F.coalesce("component", "fp").alias("component")
+    )
+
+
 def keep_one_of_each(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    shingle: int = 3, max_bits: int = 3, seed: int = 42,
 ) -> DataFrame:
     """`docs` less every document that is not the one its group keeps.
 
-    The document whose id is the component_id stays; of rows that repeat this
-    id one stays. Rows without an id cannot be named and stay.
+    Of a group's rows with an id, the first by (id, fingerprint, text hash)
+    stays, so an id that names several texts keeps a row in each group that
+    has it as its least; of rows equal in id and text one stays. A row
+    without an id never goes in favour of one with an id: of these rows each
+    group keeps one too.
     """
-    found = staged(simhash_near_dups(docs, id_col, text_col, **options), "groups")
-    ids = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
-        F.min("component_id").alias("_component"), F.count(F.lit(1)).alias("_rows")
+    source = docs.select(
+        F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("text")
     )
-    ids = ids.where("_id != _component or _rows > 1")
-    once = docs.join(ids, docs[id_col] == ids["_id"], "left_anti")
-    twice = ids.where("_id = _component and _rows > 1").select("_id")
+    prints = staged(_fingerprints(source, shingle, seed), "fingerprints")
+    named = F.col("id").isNotNull()
+    members = _members(prints.groupBy("fp").agg(
+        F.min(F.when(named, F.struct("id", "fp", "h"))).alias("first"),
+        F.min(F.when(~named, F.struct("fp", "h"))).alias("bare"),
+    ), max_bits)
+    least = members.groupBy("component").agg(F.min("first").alias("first"), F.min("bare").alias("bare"))
+    keeps = members.select("fp", "component").join(least, "component").select("fp", "first", "bare")
+    rows = prints.groupBy("id", "h", "fp").agg(F.count(F.lit(1)).alias("_rows")).join(keeps, "fp")
+    kept = F.when(named, F.struct("id", "fp", "h") == F.col("first")).otherwise(F.struct("fp", "h") == F.col("bare"))
+    gone = staged(rows.select(
+        F.col("id").alias("_id"), F.col("h").alias("_h"), "_rows", kept.alias("_kept")
+    ).where("not _kept or _rows > 1"), "groups")
+
+    def same(keys: DataFrame) -> Column:
+        return docs[id_col].eqNullSafe(keys["_id"]) & (F.xxhash64(docs[text_col]) == keys["_h"])
+
+    once = docs.join(gone, same(gone), "left_anti")
+    twice = gone.where("_kept")
     if twice.isEmpty():
         return once
-    again = docs.join(twice, docs[id_col] == twice["_id"], "left_semi").dropDuplicates([id_col])
+    again = docs.join(twice, same(twice), "left_semi").dropDuplicates([id_col, text_col])
     return once.unionByName(again)
