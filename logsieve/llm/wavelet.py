@@ -199,20 +199,31 @@ class Encoder:
     A byte-level BPE tokenizer splits at white space before merging, so equal
     pieces between two cuts have equal ids: a text is cut there and each
     distinct piece is encoded by the library once per worker, a piece that
-    is one word by the library's BPE model itself. Any other tokenizer
-    encodes the text as one piece.
+    is one word by the library's BPE model itself. The strings of added
+    tokens are cut out first and give those tokens' ids; with
+    `special_as_text` the special ones among them are ordinary text. Any
+    other tokenizer encodes the text as one piece.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        added = {
+            i: t for i, t in self.tokenizer.get_added_tokens_decoder().items()
+            if t.content and not (special_as_text and t.special)
+        }
         self.by_piece = (
             type(self.model).__name__ == "BPE" and type(cut).__name__ == "ByteLevel"
             and self.tokenizer.normalizer is None and not cut.add_prefix_space and cut.use_regex
+            and not any(t.lstrip or t.rstrip or t.single_word for t in added.values())
+            and len({t.normalized for t in added.values()}) < 2
         )
+        self.added = {t.content: struct.pack("<I", i) for i, t in added.items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.at_added = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
         self.alphabet = _byte_alphabet()
         self.pieces = _Pieces(self._piece)
 
@@ -231,12 +242,17 @@ class Encoder:
             return b""
         if not self.by_piece:
             return self._ids(text)
-        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
+        if not any(content in text for content in self.added):
+            return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
+        out = []
+        for k, part in enumerate(self.at_added.split(text)):
+            out += [self.added[part]] if k % 2 else map(self.pieces.__getitem__, _PIECE.findall(part))
+        return b"".join(out)
 
 
 def _encoder(path: str, made: dict[str, Encoder] = {}) -> Encoder:  # noqa: B006  one per worker process
     if path not in made:
-        made[path] = Encoder(path)
+        made[path] = Encoder(path, special_as_text=False)
     return made[path]
 
 
@@ -269,7 +285,9 @@ def write_token_shards(
     columns are ignored; an empty table writes no shard.
 
     `tokenizer` is a file's path, or the name of one of the public files;
-    every executor opens its own.
+    every executor opens its own. The ids are those of the library's
+    `encode(text, add_special_tokens=False)`, so the string of an added token
+    in a text is that token.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

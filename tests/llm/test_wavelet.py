@@ -98,3 +98,21 @@ def test_null_and_repeated_ids_and_no_rows(spark):
     path = scratch_path(spark, "shards")
     write_token_shards(spark.createDataFrame([], "doc_id long, text string"), path)
     assert read_token_shards(spark, path).count() == 0
+
+
+def test_special_token_strings_as_the_plain_call_reads_them(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, encoder, rnd = Tokenizer.from_file(path), Encoder(path, special_as_text=False), random.Random(6)
+    assert encoder.by_piece
+    special = "<|endoftext|>"
+    assert plain.token_to_id(special) in plain.encode(f"a {special} b", add_special_tokens=False).ids
+    texts = [f"a {special} b", special, f"{special}{special}", f"x  {special}  y", f"<|{special}|>", f"don't{special}'t \n"]
+    texts += ["".join(rnd.choices([special, special[:-1], "é", "ab", " ", "\n", "1", "'s", "<", "|>"], k=rnd.randint(1, 12)))
+              for _ in range(2000)]
+    for text in texts:
+        want = np.array(plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert encoder.encode(text) == want, repr(text)
+    rows = list(enumerate(texts[:40]))
+    path = scratch_path(spark, "shards")
+    write_token_shards(spark.createDataFrame(rows, "doc_id long, text string"), path)
+    assert sorted(tuple(r) for r in read_token_shards(spark, path).collect()) == _expected(rows)
