@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from logsieve.llm import sql
+from logsieve.llm.audit import audit_filters, quality_counts
 from logsieve.llm.chat import format_chat, loss_text, read_turns
 from logsieve.llm.common import ship_package
 from logsieve.llm.decontam import contaminated, scan_benchmark
@@ -21,9 +22,11 @@ from logsieve.llm.langid import fit_languages, identify_languages
 from logsieve.llm.licenses import scan_licenses
 from logsieve.llm.lm import score_documents
 from logsieve.llm.mixing import mix_sources
+from logsieve.llm.sharding import shard_documents
 from logsieve.llm.simhash import simhash_near_dups
 from logsieve.llm.toxicity import fit_chain, score_toxicity
 from logsieve.llm.wavelet import read_token_shards, write_token_shards
+from logsieve.llm.whitening import whiten
 from logsieve.sources import scratch_path
 
 
@@ -116,6 +119,22 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = quality_counts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    fails = {name: F.col(name) for name in "ABCDE"}
+    return audit_filters(counts, F.col("part"), fails, {"good_lost": F.col("good"), "toxic_lost": F.col("toxic")}, F.col("n"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a long's worth of the exact deviation; null beyond
+    whitened = whiten(_table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents"), 8)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return {n: _shipped(f) for n, f in (found | {"pipeline": corpus_pipeline.run}).items()}
@@ -123,4 +142,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_chat_format": sql.OP1_CHAT_FORMAT, "op3_embedding_near_dups": sql.OP3_EMBEDDING_NEAR_DUPS,
-            "op4_mix_sources": sql.op4_mix_sources(), "op5_decontaminate": sql.OP5_DECONTAMINATE}
+            "op4_mix_sources": sql.op4_mix_sources(), "op5_decontaminate": sql.OP5_DECONTAMINATE,
+            "op11_filter_audit": sql.OP11_FILTER_AUDIT}

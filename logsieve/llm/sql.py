@@ -51,6 +51,40 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(
 from doc left join hit using (r) left join own using (r)
 """
 
+# Each order is played out: a document goes at the step of the first of its filters.
+OP11_FILTER_AUDIT = r"""
+with doc as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+                    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+least_id as (select t, min(doc_id) as m from doc group by t),
+lab as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+fail as (select part, concat(
+                  case when len(w) < 50 then 'A' else '' end,
+                  case when 100 * len(list_distinct(w)) < 65 * len(w) then 'B' else '' end,
+                  case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) then 'C' else '' end,
+                  case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end,
+                  case when doc_id > m then 'E' else '' end) as fails,
+                coalesce(good, false) as good, coalesce(toxic, false) as toxic
+         from doc join least_id using (t) left join lab using (doc_id)),
+cell as (select part, fails, count(*)::bigint as n, sum(good::int)::bigint as good, sum(toxic::int)::bigint as toxic
+         from fail group by all),
+letter as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+filter_orders as (select a.x || b.x || c.x || d.x || e.x as filter_order from letter a, letter b, letter c, letter d, letter e
+           where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+goes as (select part, filter_order, fails, n, good, toxic,
+                coalesce(list_min([instr(filter_order, f) for f in string_split(fails, '') if f <> '']), 9) as at
+         from cell, filter_orders),
+steps as (select part, filter_order, k::int as step, filter_order[k] as f, goes from (select unnest(range(1, 6)) as k) s, goes),
+counted as (select part, filter_order, step, f,
+       sum(case when goes.at > step then goes.n else 0 end)::bigint as kept,
+       sum(case when goes.at = step then goes.n else 0 end)::bigint as removed,
+       sum(case when goes.at < step and contains(goes.fails, f) then goes.n else 0 end)::bigint as redundant,
+       sum(case when goes.fails = f then goes.n else 0 end)::bigint as unique_fails,
+       sum(case when goes.at = step then goes.good else 0 end)::bigint as good_lost,
+       sum(case when goes.at = step then goes.toxic else 0 end)::bigint as toxic_lost
+from steps group by part, filter_order, step, f)
+select * exclude (f), (sum(removed) over (partition by part, f))::bigint as shapley from counted
+"""
+
 
 def op4_mix_sources(share: tuple[int, int] = (3, 4), epochs: int = 2, seed: int = 42) -> str:
     """The same budgets level by level, and a plain running sum over each leaf."""
