@@ -60,6 +60,13 @@ REPORT_COLUMNS = (
 
 CORRUPT_RECORD_COLUMN = "_corrupt_record"
 
+# Bounds of the detectors that go beyond the fixed tumbling windows.
+SESSION_GAP_SECONDS = 1800
+SLOW_ATTACK_MIN_RUN = 20
+CLOCK_REACH_MADS = 6.0
+CLOCK_MIN_REACH_HOURS = 24
+INCIDENT_MIN_TOTAL = 1
+
 LOG_COLUMNS = tuple(f.name for f in LOG_SCHEMA.fields)
 DERIVED_COLUMNS = ("date", "hour", "is_error", "is_slow", "status_class")
 
@@ -78,3 +85,5 @@ class Thresholds:
     rolling_lookback_seconds: int = ROLLING_LOOKBACK_SECONDS
     top_slow_endpoints: int = TOP_SLOW_ENDPOINTS
     top_ips: int = TOP_IPS
+    session_gap_seconds: int = SESSION_GAP_SECONDS
+    slow_attack_min_run: int = SLOW_ATTACK_MIN_RUN
