@@ -42,7 +42,7 @@ def field_count(raw: Column) -> Column:
 
 def read_routed(
     spark: SparkSession, path: str | list[str], *, timestamp_format: str = TIMESTAMP_FORMAT, ntz: bool = False,
-    strict: bool = False,
+    strict: bool = False, header: bool = True,
 ) -> DataFrame:
     """The log columns as `read_logs` gives them, and for each line `raw`,
     `reason_mask` (bits as in REASONS), `reasons` and `route`.
@@ -58,7 +58,7 @@ def read_routed(
     fields are null, as in `read_logs`. Empty lines are no rows.
     """
     schema = StructType([*LOG_SCHEMA.fields, StructField(CORRUPT_RECORD_COLUMN, StringType())])
-    reader = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
+    reader = spark.read.schema(schema).option("header", str(header).lower()).option("mode", "PERMISSIVE")
     lines = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD_COLUMN).csv(path)
     return route_rows(lines, timestamp_format=timestamp_format, ntz=ntz, strict=strict)
 
