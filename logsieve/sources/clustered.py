@@ -4,7 +4,9 @@ Rows are sorted along a Z-order curve: the bits of a service rank and of a
 time rank interleaved. Neighbouring rows are then close in both, so the
 minimum and maximum that Parquet keeps of every row group are narrow in both,
 and a filter on either or on both skips most row groups. Bloom filters do the
-same for look-ups of single values in columns that the order ignores.
+same for look-ups of single values in columns that the order ignores; where
+values repeat so often that Parquet keeps a dictionary of them, it writes none
+and the dictionary is searched instead.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from logsieve.functions import epoch_seconds
 #: Each ranked column is cut into 2^RANK_BITS ranges of about equally many rows.
 RANK_BITS = 6
 BLOOM_COLUMNS = ("ip_address", "user_id")
+#: Spark writes a TIMESTAMP as INT96 by default, of which Parquet keeps no bounds.
+TIMESTAMP_TYPE_CONF, TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"
 
 
 def order_number(column: str, kind: DataType) -> Column:
@@ -75,7 +79,8 @@ def write_clustered(
     a busy hour, only takes more of the curve. Rows of equal place are dealt
     over neighbouring files by a hash of the row's other columns, so not even
     one service at one instant lands in one task. Ties are broken by the
-    columns `by` inside a file; null ranks before all others.
+    columns `by` inside a file; null ranks before all others. The session
+    writes timestamps as TIMESTAMP_MICROS meanwhile, so that they have bounds.
     """
     bounds = rank_bounds(df, by)
     ranks = [rank(order_number(c, df.schema[c].dataType), bounds[c]) for c in by]
@@ -89,4 +94,10 @@ def write_clustered(
             writer = writer.option(f"parquet.bloom.filter.expected.ndv#{c}", str(bloom[c]))
     if row_group_bytes is not None:
         writer = writer.option("parquet.block.size", str(row_group_bytes))
-    writer.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(TIMESTAMP_TYPE_CONF)
+    conf.set(TIMESTAMP_TYPE_CONF, TIMESTAMP_TYPE)
+    try:
+        writer.parquet(path)
+    finally:
+        conf.set(TIMESTAMP_TYPE_CONF, before)
