@@ -32,17 +32,23 @@ ORDERS = (1, 2, 3, 4)
 #: Documents per language that the classifiers are fitted on, at most.
 PER_LANGUAGE = 400
 UNKNOWN = "und"
+#: Score from which a prediction outweighs a document's own label.
+SURE = 0.9
 ADDED = ["lang_pred", "score"]
 
-_LETTER = re.compile(r"[^\W\d_]")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], dtype=np.uint32)
 
 
+def has_letter(text: str | None) -> bool:
+    """A character of Unicode's letter categories; `½`, `²` and `Ⅷ` are none."""
+    return text is not None and any(map(str.isalpha, text))
+
+
 def features(text: str | None) -> np.ndarray | None:
     """Root-scaled, unit-length counts of hashed byte n-grams over the whole
     text; None if it has no letter."""
-    if text is None or not _LETTER.search(text):
+    if not has_letter(text):
         return None
     raw = np.frombuffer(f" {_NOT_LETTERS.sub(' ', text.lower()).strip()} ".encode("utf-8", "surrogatepass"), np.uint8)
     out = np.zeros(len(ORDERS) * BUCKETS, dtype=np.float32)
@@ -154,7 +160,7 @@ def fit_languages(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Lang
         number = int(pdf["problem"].iloc[0])
         problem = problems[number]
         pdf = pdf.sort_values(["lang", "text"])
-        pdf = pdf[[_LETTER.search(t) is not None for t in pdf["text"]]]
+        pdf = pdf[[has_letter(t) for t in pdf["text"]]]
         x = np.empty((len(pdf), len(ORDERS) * BUCKETS), dtype=np.float32)
         for k, text in enumerate(pdf["text"]):
             x[k] = features(text)
@@ -192,6 +198,11 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text_col: str = "t
     return source.mapInArrow(run, T.StructType([*source.schema.fields, *added]))
 
 
-def rejected() -> Column:
-    """A document that no language was found in."""
-    return F.col("lang_pred") == UNKNOWN
+def rejected(lang_col: str | None = None, sure: float = SURE) -> Column:
+    """A document that no language was found in; with `lang_col`, also one
+    whose label there is contradicted with a score of `sure` or more. A null
+    label contradicts nothing."""
+    unknown = F.col("lang_pred") == UNKNOWN
+    if lang_col is None:
+        return unknown
+    return unknown | F.coalesce((F.col(lang_col) != F.col("lang_pred")) & (F.col("score") >= sure), F.lit(False))

@@ -211,27 +211,30 @@ def scan_licenses(
     Of occurrences that overlap only the one with most matched words stays, so
     a short notice inside a long one, or a sister license that differs in a
     word, is not reported beside it. Null and empty texts have no occurrence; repeated rows give their
-    rows each; other columns are ignored. Templates are parameters and are
-    sent with the task; there is no shuffle.
+    rows each; other columns are ignored; an empty table, or no template, gives
+    no row. Templates are parameters, any number of them, and are sent with
+    the task; there is no shuffle.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     wanted = {name: words_of(t) for name, t in templates.items() if words_of(t)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        holders: dict[str, int] = {}
-        for bit, words in enumerate(wanted.values()):
-            for w in words:
-                holders[w] = holders.get(w, 0) | 1 << bit
+        vocabulary: dict[str, int] = {}
+        numbers = [[vocabulary.setdefault(w, len(vocabulary)) for w in words] for words in wanted.values()]
+        # a row per template: which words it has; the last column is for all others
+        has = np.zeros((len(wanted), len(vocabulary) + 1), dtype=bool)
+        for row, own in zip(has, numbers):
+            row[own] = True
         for batch in batches:
             rows, id_type = [], batch.column("id").type
             for name, text in zip(each(batch.column("id")), each(batch.column("text"))):
                 words = words_of(text)
-                bits = np.fromiter((holders.get(w, 0) for w in words), np.int64, len(words))
+                ids = np.fromiter((vocabulary.get(w, len(vocabulary)) for w in words), np.int32, len(words))
                 found = []
-                for bit, (license_, template) in enumerate(wanted.items()):
+                for row, (license_, template) in zip(has, wanted.items()):
                     for start, end, matched in find_template(
-                        words, template, bits >> bit & 1, share, max(between, -(-len(template) // 2))
+                        words, template, row[ids], share, max(between, -(-len(template) // 2))
                     ):
                         found.append((name, license_, start, end, matched, len(template)))
                 rows += best_apart(found)

@@ -116,19 +116,25 @@ def mix_sources(
     takes of a document, less than the document only at the cut.
 
     Null names are nodes of their own. Null or empty texts have no tokens and
-    fill nothing. Rows that repeat an id in a leaf have the same place and are
-    taken together. An empty table gives no row. Input columns named like an
-    added one are replaced.
+    fill nothing. Rows of one id (null is one too) in a leaf follow each other
+    in the order of a hash of their texts; of equal texts at the cut as many
+    are taken as the budget holds, so that it is met to the token whatever the
+    ids are. Texts of any length count whole. An empty table gives no row.
+    Input columns named like an added one are replaced; all others keep their
+    names and values.
 
     One narrow table (leaf, tokens, id) is staged. A leaf's cut is found from
     token sums of hash buckets, and only the bucket of the cut is ranked, so
     a leaf that holds a third of all rows is never sorted in one task. The
-    documents are then filtered where they are, by their leaf's cut.
+    documents are then filtered where they are, by their leaf's cut. Only rows
+    that share the place of a cut are numbered, within the part of the table
+    that each comes from.
     """
     count = tokens if tokens is not None else word_count(F.col(text_col))
     names = [f"_level{k}" for k in range(len(levels))]
     named = {n: e.cast("string") for n, e in zip(names, levels.values())}
-    narrow = docs.select(F.col(id_col).cast("string").alias("id"), count.alias("tokens"), *[e.alias(n) for n, e in named.items()])
+    narrow = docs.select(F.col(id_col).cast("string").alias("id"), count.alias("tokens"), F.xxhash64(text_col).alias("x"),
+                         *[e.alias(n) for n, e in named.items()])
     narrow = staged(narrow.withColumn("leaf", _path(names)), "mix-docs")
     leaves = staged(
         narrow.groupBy("leaf", *names).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")), "mix-leaves"
@@ -149,20 +155,56 @@ def mix_sources(
     ahead = Window.partitionBy("leaf").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("ahead", F.coalesce(F.sum("held").over(ahead), F.lit(0)))
     cut_at = sums.where("ahead < rest and rest <= ahead + held").select("leaf", "bucket", "ahead")
-    inside = keyed.join(cut_at, ["leaf", "bucket"]).groupBy("leaf", "h", "rest", "ahead").agg(F.sum("tokens").alias("own"))
-    running = F.sum("own").over(Window.partitionBy("leaf").orderBy("h")) + F.col("ahead")
+    inside = keyed.join(cut_at, ["leaf", "bucket"]).groupBy("leaf", "h", "x", "tokens", "rest", "ahead").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    own = F.col("tokens") * F.col("n")
+    running = F.sum(own).over(Window.partitionBy("leaf").orderBy("h", "x", "tokens")) + F.col("ahead")
     inside = inside.withColumn("upto", running).where("upto >= rest")
-    cuts = inside.groupBy("leaf").agg(F.min_by(F.struct("h", "own", "upto", "rest"), "h").alias("c"))
-    cuts = cuts.select("leaf", F.col("c.h").alias("cut"), F.expr("c.rest - (c.upto - c.own)").alias("cut_take"))
-    plan = staged(plan.join(cuts, "leaf", "left").select(
-        F.col("leaf").alias("_leaf"), "full_epochs", F.col("cut").alias("_cut"), F.col("cut_take").alias("_cut_take")
+    place = F.struct("h", "x", "tokens")
+    cuts = inside.groupBy("leaf").agg(F.min_by(F.struct(
+        place.alias("cut"), (F.col("rest") - F.col("upto") + own).alias("take"), "n"
+    ), place).alias("c"))
+    plan = staged(plan.join(cuts.select("leaf", "c.*"), "leaf", "left").select(
+        "leaf", "full_epochs", F.struct("leaf", "cut", "take", "n").alias("plan")
     ), "mix-cuts")
 
-    rows = without(docs, ADDED).withColumns({"n_tokens": count, "_leaf": _path(list(named.values()))})
-    rows = rows.join(plan, "_leaf")
-    rows = rows.withColumn("_h", _rank(F.col(id_col), F.col("full_epochs"), seed))
-    rows = rows.withColumn("take_tokens", F.expr(
-        "case when _h < _cut then n_tokens when _h = _cut then least(n_tokens, _cut_take) else 0L end"
-    ))
-    rows = rows.where("full_epochs > 0 or _h <= _cut")
-    return rows.drop("_leaf", "_cut", "_cut_take", "_h")
+    mark = "_mix"
+    while any(c.lower().startswith(mark) for c in docs.columns):
+        mark = "_" + mark
+    rows = without(docs, ADDED).withColumns({"n_tokens": count, mark: _path(list(named.values()))})
+    rows = rows.join(plan.select(F.col("leaf").alias(f"{mark}_leaf"), "full_epochs", F.col("plan").alias(f"{mark}_plan")),
+                     F.col(mark) == F.col(f"{mark}_leaf"))
+    cut = F.col(f"{mark}_plan")["cut"]
+    rows = rows.withColumn(f"{mark}_h", _rank(F.col(id_col), F.col("full_epochs"), seed))
+    # the text is hashed only where the id's place is that of the cut
+    here = F.when(F.col(f"{mark}_h") != cut["h"], F.when(F.col(f"{mark}_h") < cut["h"], -1).otherwise(1))
+    text_place = F.struct(F.xxhash64(text_col).alias("x"), F.col("n_tokens").alias("tokens"))
+    cut_place = F.struct(cut["x"].alias("x"), cut["tokens"].alias("tokens"))
+    here = F.coalesce(here, F.when(text_place < cut_place, -1).when(text_place > cut_place, 1).otherwise(0))
+    rows = rows.withColumn(f"{mark}_side", F.when(cut.isNotNull(), here).otherwise(1))
+    take = F.col(f"{mark}_plan")["take"]
+    most = F.least(F.col("n_tokens"), take)
+    shared = plan.where("plan.n > 1").select("leaf").limit(1).count() > 0
+    if shared:
+        most = F.greatest(F.lit(0), F.least(F.col("n_tokens"), take - F.col(f"{mark}_k") * F.col("n_tokens")))
+        rows = _numbered(rows, mark)
+    taken = F.when(F.col(f"{mark}_side") < 0, F.col("n_tokens")).when(F.col(f"{mark}_side") == 0, most).otherwise(0)
+    rows = rows.withColumn("take_tokens", taken.cast("long"))
+    before = (F.col(f"{mark}_side") < 0) | ((F.col(f"{mark}_side") == 0) & (F.col("take_tokens") > 0))
+    return rows.where((F.col("full_epochs") > 0) | before).select(*[f"`{c}`" for c in rows.columns if not c.startswith(mark)])
+
+
+def _numbered(rows: DataFrame, mark: str) -> DataFrame:
+    """`rows` with {mark}_k: how many rows before it share its place at the
+    cut of its leaf, in the order of the table's parts."""
+    tied = staged(rows.where(F.col(f"{mark}_side") == 0).withColumn(f"{mark}_m", F.monotonically_increasing_id()), "mix-tied")
+    tied = tied.withColumn(f"{mark}_part", F.shiftright(f"{mark}_m", 33))
+    parts = tied.groupBy(F.col(mark).alias(f"{mark}_of"), F.col(f"{mark}_part").alias(f"{mark}_from")).agg(F.count(F.lit(1)).alias(f"{mark}_n"))
+    ahead = Window.partitionBy(f"{mark}_of").orderBy(f"{mark}_from").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn(f"{mark}_ahead", F.coalesce(F.sum(f"{mark}_n").over(ahead), F.lit(0)))
+    tied = tied.join(parts, (F.col(mark) == F.col(f"{mark}_of")) & (F.col(f"{mark}_part") == F.col(f"{mark}_from")))
+    inside = F.row_number().over(Window.partitionBy(mark, f"{mark}_part").orderBy(f"{mark}_m")) - 1
+    tied = tied.withColumn(f"{mark}_k", inside + F.col(f"{mark}_ahead"))
+    others = rows.where(F.col(f"{mark}_side") != 0).withColumn(f"{mark}_k", F.lit(0).cast("long"))
+    return others.unionByName(tied.select(*others.columns))

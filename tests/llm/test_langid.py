@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from logsieve.llm.langid import LanguageModel, features, fit_languages, fit_svm, identify_languages, rejected, training_sample
+from logsieve.llm.langid import LanguageModel, features, fit_languages, fit_svm, has_letter, identify_languages, rejected, training_sample
 from logsieve.llm.queries import op2_language_id
 
 SF = "/root/testdata/sf0.01"
@@ -69,3 +69,20 @@ def test_sample_is_bounded_and_whole_below_the_bound(spark):
     assert sorted(r.lang for r in sample.collect()) == ["a"] * 10 + ["b"] * 3
     copies = spark.createDataFrame([("same", "a")] * 5000 + [("other", "a"), ("text", "b")], "text string, lang string")
     assert sorted(r.text for r in training_sample(copies, 5).collect()) == ["other", "same", "text"]
+
+
+def test_numbers_are_no_letters(spark):
+    for text in ("½", "²", "Ⅷ 12", "12 + 3?", "_", "", None, "٣"):
+        assert not has_letter(text) and features(text) is None
+    for text in ("a", "½ ß", "中", "ª"):
+        assert has_letter(text) and features(text) is not None
+    model = fit_languages(spark.createDataFrame([("the house", "en"), ("la maison", "fr"), ("½", "fr")], "text string, lang string"))
+    docs = spark.createDataFrame([(1, "½"), (2, "²"), (3, "Ⅷ 12"), (4, "the")], "doc_id long, text string")
+    assert [r.lang_pred for r in identify_languages(docs, model).collect()] == ["und", "und", "und", "en"]
+
+
+def test_a_sure_contradiction_rejects(spark):
+    rows = [(1, "en", "fr", 0.95), (2, "en", "fr", 0.89), (3, "en", "en", 0.99), (4, None, "fr", 0.99), (5, "en", "und", 0.0)]
+    df = spark.createDataFrame(rows, "doc_id int, lang string, lang_pred string, score double")
+    assert [r.doc_id for r in df.where(~rejected("lang")).collect()] == [2, 3, 4]
+    assert [r.doc_id for r in df.where(~rejected()).collect()] == [1, 2, 3, 4]

@@ -154,3 +154,14 @@ def test_other_words_between_those_of_a_notice(spark):
         (5, "MIT-line", 0, 4, 4),
     ]
     assert _scan(spark, rows, between=9).where("doc_id in (5, 6)").count() == 2
+
+
+def test_any_number_of_templates(spark):
+    """Two hundred templates of their own words, each planted once, beside common words."""
+    templates = {f"t{k:03d}": f"notice {k} of holder{k} permits use{k} with credit{k} only" for k in range(200)}
+    rows = [(k, f"some words before {t} and after") for k, t in enumerate(templates.values())]
+    docs = spark.createDataFrame([*rows, (900, "no notice at all"), (901, None)], "doc_id long, text string")
+    got = scan_licenses(docs, templates, share=1.0).collect()
+    assert sorted((r.doc_id, r.license, r.start_word, r.end_word) for r in got) == [
+        (k, name, 3, 3 + len(t.split())) for k, (name, t) in enumerate(templates.items())]
+    assert scan_licenses(docs, {}).collect() == []

@@ -113,7 +113,35 @@ def test_small_budget_large_budget_and_empty(spark):
     assert mix_sources(docs.where("text is null"), levels, {}).count() == 0
 
 
-def test_rows_that_repeat_an_id_are_taken_together(spark):
-    docs = spark.createDataFrame([(1, "a b", "s")] * 3 + [(None, "c d", "s")], "doc_id long, text string, source string")
-    got = mix_sources(docs, {"source": F.col("source")}, {}, budget=6, max_epochs=1).collect()
-    assert len(got) in (3, 4)
+def taken(rows):
+    return sum(r.n_tokens * r.full_epochs + r.take_tokens for r in rows)
+
+
+def test_budget_is_met_with_repeated_and_null_ids(spark):
+    ten, thirty = " ".join("abcdefghij"), " ".join(["w"] * 30)
+    repeated = [(1, ten, "s")] * 3 + [(2, thirty, "s")]
+    nulls = [(None, ten, "s")] * 5 + [(None, "x y", "t")]
+    several = [(7, f"{ten} {k % 3}", "s") for k in range(9)] + [(None, None, "s"), (7, "", "s")]
+    source = {"source": F.col("source")}
+    every = repeated + nulls + several
+    for rows, parts, budgets in ((repeated, 1, (31, 45)), (nulls, 1, (8, 59)), (every, 4, (101, 230, 300))):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        for budget in budgets:
+            got = mix_sources(docs, source, {}, budget=budget, max_epochs=2).collect()
+            assert taken(got) == budget, (budget, got)
+            assert all(0 <= r.take_tokens <= r.n_tokens for r in got) and len(got) <= len(rows)
+    assert [r.take_tokens for r in mix_sources(
+        spark.createDataFrame(nulls[:5], "doc_id long, text string, source string"), source, {}, budget=8, max_epochs=1).collect()] == [8]
+
+
+def test_columns_named_like_inner_ones_keep_their_values(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", 5, "x", 9, 3, 4)], "doc_id long, text string, source string, _leaf int, _h string,"
+                                 " _cut int, _mix int, _MIX_k int")
+    (r,) = mix_sources(docs, {"source": F.col("source"), "own": F.col("_h")}, {}, budget=1, max_epochs=1).collect()
+    assert tuple(r) == (1, "a b", "s", 5, "x", 9, 3, 4, 2, 0, 1)
+
+
+def test_long_texts_count_whole(spark):
+    docs = spark.createDataFrame([(1, "w " * 300_000, "s"), (2, "w", "s")], "doc_id long, text string, source string")
+    got = mix_sources(docs, {"source": F.col("source")}, {}, budget=299_999, max_epochs=1).collect()
+    assert taken(got) == 299_999
