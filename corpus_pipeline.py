@@ -2,6 +2,8 @@
 
 STAGES run in order. Each stage works on all rows that its predecessor kept;
 its result is written as Parquet and read again as the next stage's `docs`.
+Every stage takes an empty table, texts of any length, and columns of any
+other name, which keep their values.
 """
 
 from __future__ import annotations
@@ -35,30 +37,38 @@ def mix_levels() -> dict[str, Column]:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language is found (no letter) go."""
+    """Documents go in which no language is found (no letter, so null and empty
+    texts too), and those whose `lang` the model, fitted on a sample of the same
+    table, contradicts with a score of `langid.SURE` or more. A null `lang`
+    contradicts nothing; repeated rows fare alike."""
     model = fit_languages(docs.select("text", "lang"))
     docs, own = set_aside(docs, LANGUAGE_COLUMNS)
-    return identify_languages(docs, model).where(~rejected()).select(*own)
+    return identify_languages(docs, model).where(~rejected("lang")).select(*own)
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays."""
+    """One document of each SimHash group stays. Null and empty texts are a
+    group like any other; ids may repeat or be null (`keep_one_of_each`)."""
     return keep_one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a twentieth or more of their words in benchmark windows go."""
+    """Documents with a twentieth or more of their words in benchmark windows
+    go; one without words stays, and with an empty benchmark all do."""
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of a mixture of four fifths of the tokens, each at most once."""
+    """The documents of a mixture of four fifths of the tokens, each at most
+    once. Null sources and languages are nodes of their own; the budget is met
+    whatever the ids are; the document at a leaf's cut stays whole."""
     docs, own = set_aside(docs, MIX_COLUMNS)
     return mix_sources(docs, mix_levels(), MIX_WEIGHTS, budget_share=(4, 5), max_epochs=1).select(*own)
 
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token shards on the shared folder; the row of each document read back from them."""
+    """Token shards on the shared folder; the row of each document read back
+    from them. A null text is empty: its end id alone."""
     path = scratch_path(spark, "corpus-shards")
     write_token_shards(docs, path)
     return read_token_shards(spark, path)
