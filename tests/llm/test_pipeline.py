@@ -68,3 +68,21 @@ def test_empty_documents(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_mislabelled_documents_go(spark):
+    """Long texts under the label of another language; the same under none stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    longest = {r.lang: r.text for r in docs.where("n_chars < 5000").orderBy("n_chars").collect()}
+    wrong = [(10**6, longest["en"], "fr", "s", 1), (10**6 + 1, longest["de"], "es", "s", 1)]
+    right = [(10**6 + 2, longest["en"], "en", "s", 1), (10**6 + 3, longest["de"], None, "s", 1), (None, longest["fr"], "fr", "s", 1)]
+    kept = P.language_id(spark, docs.union(spark.createDataFrame(wrong + right, docs.schema)), SF)
+    ids = [r.doc_id for r in kept.collect()]
+    assert {10**6, 10**6 + 1}.isdisjoint(ids) and {10**6 + 2, 10**6 + 3, None} <= set(ids)
+    assert len(ids) == docs.count() + 3
+
+
+def test_mix_takes_rows_without_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("cast(null as long) as doc_id", "text", "lang", "source", "n_chars")
+    words = lambda df: sum(len((r.text or "").encode().split()) for r in df.collect())
+    assert 0.75 * words(docs) < words(P.mix(spark, docs, SF)) < 0.95 * words(docs)
