@@ -16,6 +16,8 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logsieve.llm.common import staged
+
 #: All orders of the filters are listed, so there are few of them.
 MOST_FILTERS = 7
 
@@ -162,6 +164,8 @@ def quality_counts(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         F.sum("n").alias("n"), F.sum(F.when(F.col("id").isNull(), F.col("n")).otherwise(0)).alias("no_id"),
         F.min("id").alias("least"), F.min_by("n", "id").alias("at_least"),
     )
+    # both readers below want it, and would read and split every text again
+    cells = staged(cells, "audit-cells")
     first = cells.groupBy("digest").agg(F.min("least").alias("first"))
     cells = cells.join(first, "digest")
     ahead = F.when(F.col("least") == F.col("first"), F.col("at_least")).otherwise(0)
