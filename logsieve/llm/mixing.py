@@ -179,8 +179,11 @@ def mix_sources(
     rows = rows.withColumn(f"{mark}_h", _rank(F.col(id_col), F.col("full_epochs"), seed))
     # the text is hashed only where the id's place is that of the cut
     here = F.when(F.col(f"{mark}_h") != cut["h"], F.when(F.col(f"{mark}_h") < cut["h"], -1).otherwise(1))
-    text_place = F.struct(F.xxhash64(text_col).alias("x"), F.col("n_tokens").alias("tokens"))
-    cut_place = F.struct(cut["x"].alias("x"), cut["tokens"].alias("tokens"))
+    text_place, cut_place = F.xxhash64(text_col), cut["x"]
+    if tokens is not None:  # else equal texts have equal counts
+        text_place, cut_place = (
+            F.struct(x.alias("x"), n.alias("n")) for x, n in ((text_place, F.col("n_tokens")), (cut_place, cut["tokens"]))
+        )
     here = F.coalesce(here, F.when(text_place < cut_place, -1).when(text_place > cut_place, 1).otherwise(0))
     rows = rows.withColumn(f"{mark}_side", F.when(cut.isNotNull(), here).otherwise(1))
     take = F.col(f"{mark}_plan")["take"]
@@ -191,7 +194,9 @@ def mix_sources(
         rows = _numbered(rows, mark)
     taken = F.when(F.col(f"{mark}_side") < 0, F.col("n_tokens")).when(F.col(f"{mark}_side") == 0, most).otherwise(0)
     rows = rows.withColumn("take_tokens", taken.cast("long"))
-    before = (F.col(f"{mark}_side") < 0) | ((F.col(f"{mark}_side") == 0) & (F.col("take_tokens") > 0))
+    # without n_tokens, so that the filter counts no words
+    here = F.col(f"{mark}_k") * cut["tokens"] < take if shared else F.lit(True)
+    before = (F.col(f"{mark}_side") < 0) | ((F.col(f"{mark}_side") == 0) & here)
     return rows.where((F.col("full_epochs") > 0) | before).select(*[f"`{c}`" for c in rows.columns if not c.startswith(mark)])
 
 
