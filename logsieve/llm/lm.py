@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import struct
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +19,16 @@ from logsieve.llm.common import each, staged
 CHUNK_BYTES = 8 << 20
 #: Pseudo-count of the failure arc: what a state gives to all words it has no arc for.
 STRENGTH = 50.0
+#: Bits of the gram hash that one hop of the exchange goes by at most.
+RADIX_BITS = 12
+#: Tokens of a long text that are read as one stretch, beside its others.
+STRETCH = 512
 
 _END = b""  # no word is empty
 
 _CHUNK_SCHEMA = "chunk long, ids array<{id}>, train array<boolean>, lengths binary, texts binary"
-_GRAM_SCHEMA = "chunk long, length int, shard long, grams binary, counts binary"
-_TOTAL_SCHEMA = "chunk long, length int, shard long, totals binary"
+_GRAM_SCHEMA = "unit long, length int, shard long, grams binary, counts binary"
+_TOTAL_SCHEMA = "unit long, length int, shard long, totals binary"
 _SCORE_SCHEMA = "id {id}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -125,15 +129,29 @@ def _texts(row: dict) -> list[bytes]:
     return [body[a:b] for a, b in zip(at[:-1], at[1:])]
 
 
-def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Where each shard, an equal range of the hashes, begins in sorted keys."""
-    bounds = [(k << 64) // shards for k in range(1, shards)]
-    return np.r_[0, np.searchsorted(keys, np.array(bounds, dtype=np.uint64)), len(keys)]
+def _ranges(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges (first `bits` bits of the hash) that sorted keys fall in, and
+    where each begins, the end added."""
+    prefix = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+    first = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return prefix[first].astype(np.int64), np.r_[first, len(keys)]
 
 
-def _gram_counts(chunks: DataFrame, order: int, shards: int) -> DataFrame:
+def _requests(unit: int, length: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Sorted grams and their counts, a row for each range that has any."""
+    ranges, cut = _ranges(keys, bits)
+    spans = list(zip(cut[:-1], cut[1:]))
+    return pa.RecordBatch.from_pydict({
+        "unit": pa.array([unit] * len(spans), pa.int64()), "length": pa.array([length] * len(spans), pa.int32()),
+        "shard": pa.array(ranges, pa.int64()),
+        "grams": pa.array([_pack(np.diff(keys[x:y], prepend=np.uint64(0))) for x, y in spans], pa.binary()),
+        "counts": pa.array([_pack(counts[x:y].astype("<u8")) for x, y in spans], pa.binary()),
+    })
+
+
+def _gram_counts(chunks: DataFrame, order: int, bits: int) -> DataFrame:
     """The distinct grams of every chunk with their counts in its training
-    documents, a row for each shard that has any."""
+    documents, a row for each range of the hash that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,78 +160,186 @@ def _gram_counts(chunks: DataFrame, order: int, shards: int) -> DataFrame:
                 grams = Grams(_texts(row), order)
                 train = np.repeat(np.array(row["train"], dtype=bool), grams.sizes)
                 for n in range(1, order + 1):
-                    keys = grams.keys[n]
-                    counts = np.bincount(grams.at[n][train & grams.real[n]], minlength=len(keys)).astype("<u4")
-                    cut = _cuts(keys, shards)
-                    full = np.flatnonzero(np.diff(cut))
-                    yield pa.RecordBatch.from_pydict({
-                        "chunk": pa.array([row["chunk"]] * len(full), pa.int64()),
-                        "length": pa.array([n] * len(full), pa.int32()), "shard": pa.array(full, pa.int64()),
-                        "grams": [_pack(np.diff(keys[cut[s] : cut[s + 1]], prepend=np.uint64(0))) for s in full],
-                        "counts": [_pack(counts[cut[s] : cut[s + 1]]) for s in full],
-                    })
+                    counts = np.bincount(grams.at[n][train & grams.real[n]], minlength=len(grams.keys[n]))
+                    yield _requests(row["chunk"], n, grams.keys[n], counts, bits)
 
     return chunks.select("chunk", "train", "lengths", "texts").mapInArrow(run, _GRAM_SCHEMA)
 
 
-def _sum_shard(table: pa.Table) -> pa.Table:
-    """One shard: the corpus count of every gram, for each chunk in the order
-    that it sent them; and, as chunk -1, the sum and number of those seen."""
-    rows = table.to_pylist()
+def _together(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows of one range: their distinct grams in order, where each row's
+    grams stand among them, and where each row's grams begin there."""
     grams = [np.cumsum(_unpack(r["grams"], "<u8"), dtype=np.uint64) for r in rows]
-    counts = np.concatenate([_unpack(r["counts"], "<u4") for r in rows])
-    _, place = np.unique(np.concatenate(grams), return_inverse=True)
-    totals = np.zeros(place.max() + 1, dtype=np.int64)
-    np.add.at(totals, place, counts)
-    cut = np.cumsum([0, *map(len, grams)])
-    out = [_pack(totals[place[a:b]].astype("<u8")) for a, b in zip(cut[:-1], cut[1:])]
-    seen = struct.pack(">QQ", int(totals.sum()), int((totals > 0).sum()))
+    keys, place = np.unique(np.concatenate(grams), return_inverse=True)
+    return keys, place, np.cumsum([0, *map(len, grams)])
+
+
+def _summed(rows: list[dict], keys: np.ndarray, place: np.ndarray) -> np.ndarray:
+    totals = np.zeros(len(keys), dtype=np.int64)
+    np.add.at(totals, place, np.concatenate([_unpack(r["counts"], "<u8") for r in rows]).astype(np.int64))
+    return totals
+
+
+def _answers(rows: list[dict], totals: np.ndarray, place: np.ndarray, cut: np.ndarray) -> pa.Table:
     return pa.table({
-        "chunk": pa.array([*(r["chunk"] for r in rows), -1], pa.int64()),
-        "length": pa.array([rows[0]["length"]] * (len(rows) + 1), pa.int32()),
-        "shard": pa.array([rows[0]["shard"]] * (len(rows) + 1), pa.int64()), "totals": [*out, seen],
+        "unit": pa.array([r["unit"] for r in rows], pa.int64()), "length": pa.array([r["length"] for r in rows], pa.int32()),
+        "shard": pa.array([r["shard"] for r in rows], pa.int64()),
+        "totals": pa.array([_pack(totals[place[x:y]].astype("<u8")) for x, y in zip(cut[:-1], cut[1:])], pa.binary()),
     })
 
 
+def _sum_shard(table: pa.Table) -> pa.Table:
+    """One shard: the corpus count of every gram, for each unit in the order
+    that it sent them; and, as unit -1, the sum and number of those seen."""
+    rows = table.to_pylist()
+    keys, place, cut = _together(rows)
+    totals = _summed(rows, keys, place)
+    seen = struct.pack(">QQ", int(totals.sum()), int((totals > 0).sum()))
+    return pa.concat_tables([_answers(rows, totals, place, cut), pa.table({
+        "unit": pa.array([-1], pa.int64()), "length": pa.array([rows[0]["length"]], pa.int32()),
+        "shard": pa.array([rows[0]["shard"]], pa.int64()), "totals": pa.array([seen], pa.binary()),
+    })])
+
+
+def hops(chunks: int, radix_bits: int = RADIX_BITS) -> list[int]:
+    """Bits of the gram hash that each hop of the exchange goes by: in all
+    those of half as many shards as there are chunks, `radix_bits` at most a hop."""
+    bits = max(0, chunks - 1).bit_length() - 1
+    n = max(1, -(-bits // radix_bits))
+    return [max(0, bits) * (k + 1) // n - max(0, bits) * k // n for k in range(n)]
+
+
+def _corpus_counts(asked: DataFrame, units: int, bits: list[int], used: int) -> DataFrame:
+    """(unit, length, shard, totals): the corpus count of every gram asked for.
+
+    `asked` is cut into ranges by the first `used` bits, the last of which are
+    bits[0]. In the last hop a range is a shard, which adds up. Before it, the
+    rows that about 2^bits[0] units send to one range are merged into one unit
+    of about their size, which asks in narrower ranges for them all and hands
+    the answers on. So a unit sends 2^bits[0] rows at most a hop, and rows grow
+    with the units, not with units times shards.
+    """
+    if len(bits) == 1:
+        return staged(asked.groupBy("length", "shard").applyInArrow(_sum_shard, _TOTAL_SCHEMA), "lm-totals")
+    groups = -(-units >> bits[0]) or 1
+    asked = staged(asked, "lm-asked").withColumn("group", F.pmod(F.xxhash64("unit"), F.lit(groups)))
+    finer = used + bits[1]
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        keys, place, _ = _together(rows)
+        return pa.Table.from_batches([_requests(key[0].as_py(), key[1].as_py(), keys, _summed(rows, keys, place), finer)])
+
+    def hand_on(table: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        _, place, cut = _together(rows)
+        found = [_unpack(a["totals"], "<u8") for a in sorted(answers.to_pylist(), key=lambda a: a["finer"])]
+        return _answers(rows, np.concatenate(found), place, cut)
+
+    cell = ["group", "length", "shard"]
+    inner = _corpus_counts(asked.groupBy(*cell).applyInArrow(merge, _GRAM_SCHEMA), groups, bits[1:], finer)
+    above = inner.where("unit >= 0").select(
+        F.col("unit").alias("group"), "length", F.shiftright("shard", bits[1]).alias("shard"),
+        F.col("shard").alias("finer"), "totals",
+    )
+    back = asked.groupBy(*cell).cogroup(above.groupBy(*cell)).applyInArrow(hand_on, _TOTAL_SCHEMA)
+    return staged(back.unionByName(inner.where("unit = -1")), "lm-totals")
+
+
 class BackoffAutomaton:
     """The part of the smoothed n-gram automaton that a chunk's texts traverse.
 
-    A state is the longest gram just read that training text goes on from;
-    its failure arc leads to the gram without its first word. From a state
-    seen `from_` times, a word seen `c` times after it has an arc of
-    log10((c + strength * p) / (from_ + strength)), where p is the word's
-    probability in the failure state; the failure arc weighs
-    log10(strength / (from_ + strength)). The root has an arc for every word,
-    unseen ones included: log10((c + 0.5) / (N + 0.5 * (V + 1))).
+    A state is a gram of 1 to order - 1 words that training text holds; the
+    root is the empty one (state 0). An arc is a gram of a state's words and
+    one more: from a state seen `from` times, a word seen `c` > 0 times after
+    it has an arc of log10((c + strength * p) / (from + strength)), where p is
+    the word's probability in the state without its first word. To that state
+    leads the failure arc, of log10(strength / (from + strength)). The root
+    has an arc for every word: log10((c + 0.5) / (N + 0.5 * (V + 1))).
+
+    `fail_to`, `fail_weight` are by state; `arcs[n]` and `goes_to[n]` by gram
+    of n words: whether there is an arc, its weight, and the state it enters.
+    `strengths` are those of states of 1, 2, ... words.
     """
 
-    def __init__(self, grams: Grams, totals: dict[int, np.ndarray], n_tokens: int, n_words: int, strength: float):
-        self.grams, self.totals, self.strength = grams, totals, strength
-        self.root = np.log10((totals[1] + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
-
-    def traverse(self) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of every token in its state, and at the root,
-        reading each text from left to right."""
-        grams = self.grams
-        base = self.root[grams.at[1]]
-        log_p, state_seen = base, self.totals[1][grams.at[1]]
-        documents = self.totals[1][np.searchsorted(grams.keys[1], np.uint64(xxhash.xxh64_intdigest(_END)))]
-        for n in range(2, len(grams.keys) + 1):
-            arc_seen = self.totals[n][grams.at[n]]
-            from_ = np.r_[0, state_seen[:-1]].astype(np.float64)
-            if n == 2:
-                from_[grams.first] = documents
-            from_[~grams.real[n]] = 0
-            arc = np.log10((arc_seen + self.strength * 10.0**log_p) / (from_ + self.strength))
-            failure = np.log10(self.strength / (from_ + self.strength)) + log_p
-            log_p = np.where(from_ > 0, np.where(arc_seen > 0, arc, failure), log_p)
-            state_seen = np.where(grams.real[n], arc_seen, 0)
-        return log_p, base
+    def __init__(self, grams: Grams, totals: dict[int, np.ndarray], n_tokens: int, n_words: int, strengths: Sequence[float]):
+        self.grams, self.order = grams, len(grams.keys)
+        self.base = np.log10((totals[1] + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
+        end = np.searchsorted(grams.keys[1], np.uint64(xxhash.xxh64_intdigest(_END)))
+        offset = np.cumsum([1, *(len(grams.keys[n]) for n in range(1, self.order))])
+        self.fail_to, self.fail_weight = np.zeros(offset[-1], np.int64), np.zeros(offset[-1])
+        self.seen = {n: totals[n] > 0 for n in totals}
+        self.arcs, self.goes_to, self.start = {1: self.base}, {}, 0
+        for n in range(1, self.order + 1):
+            size = len(grams.keys[n])
+            tail = np.zeros(size, np.int64)
+            if n > 1:
+                head = np.zeros(size, np.int64)
+                tail[grams.at[n]] = grams.at[n - 1]
+                before = np.r_[end, grams.at[n - 1][:-1]]
+                if n == 2:
+                    before[grams.first] = end
+                head[grams.at[n][grams.real[n]]] = before[grams.real[n]]
+                k = strengths[n - 2]
+                lower = 10.0 ** self.arcs[n - 1][tail]
+                self.arcs[n] = np.log10((totals[n] + k * lower) / (totals[n - 1][head] + k))
+            if n < self.order:
+                states = slice(offset[n - 1], offset[n])
+                self.fail_to[states] = offset[n - 2] + tail if n > 1 else 0
+                self.fail_weight[states] = np.log10(strengths[n - 1] / (totals[n] + strengths[n - 1]))
+                self.goes_to[n] = np.where(self.seen[n], offset[n - 1] + np.arange(size), 0)
+            else:
+                self.goes_to[n] = offset[n - 2] + tail if n > 1 else np.zeros(size, np.int64)
+        self.level = np.repeat(np.arange(self.order), [1, *(len(grams.keys[n]) for n in range(1, self.order))])
+        if self.order > 1 and self.seen[1][end]:
+            self.start = int(offset[0] + end)
+
+    def traverse(self, stretch: int = STRETCH) -> np.ndarray:
+        """log10 probability of every token, each text read once from left to
+        right with the state carried along.
+
+        All texts of the chunk step together. A long one is read in stretches
+        that step side by side: a state is at most order - 1 words, so one that
+        begins so many tokens early is in the text's own state when it counts.
+        """
+        grams, out = self.grams, np.zeros(len(self.grams.at[1]))
+        per = -(-grams.sizes // stretch)
+        text = np.repeat(np.arange(len(per)), per)
+        inside = (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)) * stretch
+        lead = np.where(inside > 0, self.order - 1, 0)
+        begin = grams.first[text] + inside - lead
+        steps = np.minimum(stretch, grams.sizes[text] - inside) + lead
+        by_size = np.argsort(-steps, kind="stable")
+        begin, steps, lead, inside = begin[by_size], steps[by_size], lead[by_size], inside[by_size]
+        state = np.where(inside > 0, 0, self.start)
+        for t, on in enumerate(np.searchsorted(-steps, -np.arange(steps[0]))):
+            at = begin[:on] + t
+            state, log_p = self._step(state[:on], at)
+            counts = t >= lead[:on]
+            out[at[counts]] = log_p[counts]
+        return out
+
+    def _step(self, state: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states and log10 probabilities on reading the tokens at
+        `at`: failure arcs are followed down to a state with an arc."""
+        log_p, into, level = np.zeros(len(at)), np.zeros(len(at), np.int64), self.level[state]
+        for n in range(self.order, 0, -1):
+            here = np.flatnonzero(level == n - 1)
+            gram = self.grams.at[n][at[here]]
+            arc = self.seen[n][gram] | (n == 1)
+            taken, failed = here[arc], here[~arc]
+            log_p[taken] += self.arcs[n][gram[arc]]
+            into[taken] = self.goes_to[n][gram[arc]]
+            log_p[failed] += self.fail_weight[state[failed]]
+            state[failed] = self.fail_to[state[failed]]
+            level[taken], level[failed] = -1, n - 2
+        return into, log_p
 
 
 def score_documents(
     docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col: str = "text",
-    order: int = 2, strength: float = STRENGTH, chunk_bytes: int = CHUNK_BYTES,
+    order: int = 2, strength: float | Sequence[float] = STRENGTH, chunk_bytes: int = CHUNK_BYTES,
+    radix_bits: int = RADIX_BITS,
 ) -> DataFrame:
     """(id_col, n_tokens, n_known, train_tokens, base_score, score) for every row.
 
@@ -222,25 +348,33 @@ def score_documents(
     pruned. Tokens are runs without ASCII white space, A-Z lower-cased, and
     one end per text. base_score is the sum of root arcs, score the sum along
     the automaton's path. Null and empty texts are one end token. Without a
-    training row N and V are 0. Repeated rows score alike; other columns are
-    ignored; no rows in, no rows out.
+    training row N and V are 0. Repeated rows score alike, whatever their
+    ids; other columns are ignored; no rows in, no rows out. A text of any
+    length is one row of one chunk, which then is as long as that text.
+
+    `strength` is one pseudo-count for all states, or one for states of one
+    word, of two, and so on to order - 1.
 
     Documents are put together into chunks of `chunk_bytes` and staged. A
     chunk sends its distinct grams, sorted and packed, to shards that are
     equal ranges of the gram hash; a shard adds the counts up and answers
-    each chunk in the order of its question. The chunk then has just the arcs
-    and failure arcs that its texts traverse, however large the model grows,
-    and no word is a key that many rows meet on. Grams are told apart by
-    64-bit hashes.
+    each chunk in the order of its question. Beyond 2^`radix_bits` shards
+    this goes by several hops (`hops`), so that the rows exchanged grow with
+    the chunks. The chunk then has just the arcs and failure arcs that its
+    texts traverse, however large the model grows, and no word is a key that
+    many rows meet on. Grams are told apart by 64-bit hashes.
     """
+    strengths = [float(strength)] * (order - 1) if isinstance(strength, (int, float)) else list(strength)
+    if len(strengths) != order - 1:
+        raise ValueError(f"{order - 1} strengths are needed for order {order}, not {len(strengths)}")
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(trained, F.lit(True)).alias("train")
     )
     chunks = staged(_chunks(rows, chunk_bytes), "lm-chunks")
-    shards = max(1, chunks.count() // 2)
-    asked = _gram_counts(chunks, order, shards)
-    totals = staged(asked.groupBy("length", "shard").applyInArrow(_sum_shard, _TOTAL_SCHEMA), "lm-totals")
-    n_tokens, n_words = _seen(totals.where("chunk = -1 and length = 1").select("totals"))
+    n_chunks = chunks.count()
+    bits = hops(n_chunks, radix_bits)
+    totals = _corpus_counts(_gram_counts(chunks, order, bits[0]), n_chunks, bits, bits[0])
+    n_tokens, n_words = _seen(totals.where("unit = -1 and length = 1").select("totals"))
 
     def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         row = {c: chunk.column(c)[0].as_py() for c in ("ids", "lengths", "texts")}
@@ -249,7 +383,8 @@ def score_documents(
         for answer in sorted(answers.to_pylist(), key=lambda a: (a["length"], a["shard"])):
             found[answer["length"]].append(_unpack(answer["totals"], "<u8"))
         counts = {n: np.concatenate(f).astype(np.int64) for n, f in found.items()}
-        log_p, base = BackoffAutomaton(grams, counts, n_tokens, n_words, strength).traverse()
+        automaton = BackoffAutomaton(grams, counts, n_tokens, n_words, strengths)
+        log_p, base = automaton.traverse(), automaton.base[grams.at[1]]
         known = (counts[1] > 0)[grams.at[1]].astype(np.int64)
         total = lambda x: np.add.reduceat(x, grams.first)
         return pa.table({
@@ -260,7 +395,7 @@ def score_documents(
 
     kind = rows.schema["id"].dataType.simpleString()
     scored = chunks.select("chunk", "ids", "lengths", "texts").groupBy("chunk").cogroup(
-        totals.where("chunk >= 0").groupBy("chunk")
+        totals.where("unit >= 0").withColumnRenamed("unit", "chunk").groupBy("chunk")
     ).applyInArrow(score, _SCORE_SCHEMA.format(id=kind))
     return scored.withColumnRenamed("id", id_col)
 

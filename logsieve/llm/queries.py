@@ -29,6 +29,10 @@ from logsieve.llm.wavelet import read_token_shards, write_token_shards
 from logsieve.llm.whitening import whiten
 from logsieve.sources import scratch_path
 
+#: Pseudo-counts of states of one word and of two: of a grid, those under which
+#: the held-out documents are likeliest.
+LM_STRENGTHS = (10_000.0, 5.0)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -113,7 +117,7 @@ def op9_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_held_out(5), F.lit(False))
-    scored = score_documents(docs, ~held_out, order=3)
+    scored = score_documents(docs, ~held_out, order=3, strength=LM_STRENGTHS)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

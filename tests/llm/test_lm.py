@@ -19,6 +19,7 @@ def tokens(text):
 
 
 def brute(rows, order, strength):
+    strengths = [strength] * order if isinstance(strength, float) else strength
     counts = [Counter() for _ in range(order + 1)]
     for _, text, train in rows:
         if train is not False:
@@ -39,6 +40,7 @@ def brute(rows, order, strength):
                 if i - k + 1 >= 0:
                     context = tuple(words[i - k + 1 : i])
                     seen = counts[1][context[0]] if k == 2 else counts[k - 1][context]
+                    strength = strengths[k - 2]
                     if seen:
                         p = (counts[k][(*context, words[i])] + strength * p) / (seen + strength)
             score += math.log10(p)
@@ -66,6 +68,79 @@ def test_against_plain_python(spark, order, chunk_bytes):
         assert g[4:] == pytest.approx(w[4:], rel=1e-9)
 
 
+@pytest.mark.parametrize("radix_bits", [1, 2])
+def test_several_hops(spark, radix_bits):
+    # About 40 chunks of a few texts: four hops of one bit, two of two.
+    rows = _rows()
+    docs = spark.createDataFrame([r for r in rows], "doc_id long, text string, train boolean").repartition(3)
+    got = score_documents(docs, F.col("train"), order=3, strength=[7.0, 2.0], chunk_bytes=300, radix_bits=radix_bits)
+    got, want = sorted(tuple(r) for r in got.collect()), sorted(brute(rows, 3, [7.0, 2.0]))
+    assert [r[:4] for r in got] == [r[:4] for r in want]
+    for g, w in zip(got, want):
+        assert g[4:] == pytest.approx(w[4:], rel=1e-9)
+
+
+def test_rows_exchanged_grow_with_the_chunks(spark):
+    from logsieve.llm import lm
+
+    def sent(copies):
+        texts = [(k, " ".join(f"w{(k * 31 + j * j) % 997}" for j in range(40)), True) for k in range(32 * copies)]
+        docs = spark.createDataFrame(texts, "id long, text string, train boolean").repartition(4)
+        chunks = lm.staged(lm._chunks(docs, 400), "test-chunks")
+        n = chunks.count()
+        bits = lm.hops(n, 2)
+        return n, bits, lm._gram_counts(chunks, 3, bits[0]).count()
+
+    (n, few_bits, few), (many_n, many_bits, many) = sent(1), sent(4)
+    assert len(few_bits) > 1 and len(many_bits) > 1
+    assert max(many_bits) <= 2 and sum(many_bits) == sum(few_bits) + 2
+    assert many <= 4 * many_n * 3 and many <= many_n / n * few * 1.3
+
+
+def test_hops_are_even_and_bounded():
+    from logsieve.llm.lm import hops
+
+    assert hops(0) == hops(1) == hops(2) == [0]
+    assert hops(118) == [6] and hops(7000) == [12] and hops(12_500_000) == [11, 12] and hops(40, 2) == [1, 2, 2]
+    assert all(max(hops(n)) <= 12 for n in range(0, 1 << 20, 997))
+
+
+def _automaton(rows, order, strengths):
+    """The automaton of all rows as one chunk, with the counts of the training rows."""
+    from logsieve.llm.lm import BackoffAutomaton, Grams
+
+    import numpy as np
+
+    grams = Grams([(t or "").encode() for _, t, _ in rows], order)
+    train = np.repeat([u is not False for *_, u in rows], grams.sizes)
+    totals = {n: np.bincount(grams.at[n][train & grams.real[n]], minlength=len(grams.keys[n])) for n in grams.keys}
+    return BackoffAutomaton(grams, totals, int(totals[1].sum()), int((totals[1] > 0).sum()), strengths)
+
+
+@pytest.mark.parametrize("stretch", [1, 2, 5, 512])
+def test_long_texts_in_stretches_side_by_side(stretch):
+    import numpy as np
+
+    rows = [*_rows(), (300, " ".join(f"w{(j * j) % 71}" for j in range(3000)), True)]
+    machine = _automaton(rows, 4, [7.0, 3.0, 1.0])
+    got = np.add.reduceat(machine.traverse(stretch), machine.grams.first)
+    assert got == pytest.approx([w[5] for w in brute(rows, 4, [7.0, 3.0, 1.0])], rel=1e-9)
+
+
+def test_states_fail_to_the_state_without_their_first_word():
+    machine = _automaton([(0, "a b c", True), (1, "x b c", True)], 3, [7.0, 2.0])
+    assert machine.start > 0 and machine.level[machine.start] == 1
+    assert (machine.level[machine.fail_to[1:]] == machine.level[1:] - 1).all() and machine.fail_to[0] == 0
+    assert (machine.fail_weight[1:] < 0).sum() == len({"end", "a", "b", "c", "x"}) + len({"^a", "ab", "bc", "c$", "^x", "xb"})
+    assert set(machine.level[machine.goes_to[3][machine.seen[3]]]) == {2}
+
+
+def test_one_strength_for_each_length_of_state(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="2 strengths"):
+        score_documents(docs, F.lit(True), order=3, strength=[1.0])
+
+
 def test_probabilities_of_a_state_sum_to_one(spark):
     # All words and one unseen, after one context: arcs and failure arcs together.
     train = [(0, "a b a c a b d", True)]
@@ -97,11 +172,10 @@ def test_query_splits_by_crc(spark):
 
 
 def test_query_reads_two_words_of_context(spark):
-    from logsieve.llm.lm import STRENGTH
-    from logsieve.llm.queries import op10_lm_scoring
+    from logsieve.llm.queries import LM_STRENGTHS, op10_lm_scoring
 
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     rows = [(r.doc_id, r.text, zlib.crc32(str(r.doc_id).encode()) % 5 != 1) for r in docs]
-    want = {r[0]: r[5] for r in brute(rows, 3, STRENGTH)}
+    want = {r[0]: r[5] for r in brute(rows, 3, LM_STRENGTHS)}
     got = {r.doc_id: r.score for r in op10_lm_scoring(spark, "/root/testdata/sf0.001").collect()}
     assert got == pytest.approx(want, rel=1e-9)
