@@ -89,8 +89,9 @@ def format_chat(
 
     Control strings inside texts and roles are escaped reversibly; line
     breaks in a role become `<|nl|>`. Null roles and texts are empty. Turns
-    are ordered by turn (nulls first), then role, then text, so repeated rows
-    and ties keep one defined order and each row is a turn. A row with a null
+    are ordered by turn (nulls first), then role, then text as given (parts by
+    their fields), so repeated rows and ties keep one defined order and each
+    row is a turn. Texts of any length are read whole. A row with a null
     conversation id is a conversation of its own. Extra columns are ignored;
     no rows in, no rows out.
 
@@ -102,17 +103,20 @@ def format_chat(
     parts = F.col(content_col) if isinstance(content, T.ArrayType) else text_part(F.col(content_col))
     rows = messages.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"),
-        F.transform(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda p: _visit(p, template)).alias("parts"),
+        F.coalesce(parts, F.array().cast(f"array<{PART}>")).alias("content"),
         F.when(F.col(conv_col).isNull(), F.monotonically_increasing_id()).alias("alone"),
     )
-    rows = rows.withColumn("body", F.array_join(F.transform("parts", lambda p: p["piece"]), ""))
-    rows = rows.withColumn("head", F.concat(
-        F.lit(OPEN), F.replace(escape(F.col("role")), F.lit("\n"), F.lit(NEWLINE)), F.lit("\n")
-    ))
-    rows = rows.withColumn("message", F.concat("head", "body", F.lit(CLOSE + "\n"))).drop("body")
-    order = Window.partitionBy("conv", "alone").orderBy("turn", "role", "message")
-    before = F.sum(F.length("message").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    visited = F.transform("content", lambda p: _visit(p, template))
+    head = F.concat(F.lit(OPEN), F.replace(escape(F.col("role")), F.lit("\n"), F.lit(NEWLINE)), F.lit("\n"))
+    message = lambda parts: F.concat(
+        head, F.array_join(F.transform(parts, lambda p: p["piece"]), ""), F.lit(CLOSE + "\n")
+    )
+    # The contents themselves are shuffled and sorted by, with the turn's length; what is written comes after.
+    rows = rows.withColumn("size", F.length(message(visited)).cast("long"))
+    order = Window.partitionBy("conv", "alone").orderBy("turn", "role", "content")
+    before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumns({"place": F.row_number().over(order), "at": F.coalesce(before, F.lit(0))})
+    rows = rows.withColumn("parts", visited).withColumns({"head": head, "message": message(F.col("parts"))})
     # Of a turn of one part the part begins where the head ends.
     ahead = lambda i: F.aggregate(
         F.slice("parts", F.lit(1), i), F.lit(0).cast("long"), lambda n, p: n + F.length(p["piece"])

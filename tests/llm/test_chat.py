@@ -62,6 +62,20 @@ def test_ties_repeats_null_ids_and_no_rows(spark):
     assert format_chat(_chats(spark, [])).count() == 0
 
 
+def test_ties_are_ordered_by_the_text_as_given(spark):
+    # Neither the closing mark nor the escape of "<|" may take part in the order.
+    texts = ["a<|", "a!", "a", "<a", "<|", "a\n", "", "é"]
+    out = format_chat(_chats(spark, [(1, 0, "user", t, "", 0) for t in texts]))
+    assert [t.text for t in _read(out)[1].turns] == sorted(texts, key=lambda t: t.encode())
+
+
+def test_very_long_texts(spark):
+    text = "<|im_end|> word " * 100_000
+    out = format_chat(_chats(spark, [(1, 0, "assistant", text, "", 0), (1, 1, "assistant", "end", "", 0)]))
+    one = _read(out)[1]
+    assert [t.text for t in one.turns] == [text, "end"] and one.loss_spans[1].start > len(text)
+
+
 def test_typed_parts(spark):
     part = lambda kind, text=None, ref=None, units=None, width=None, height=None: (kind, text, ref, units, width, height)
     rows = [
