@@ -76,7 +76,8 @@ class Grams:
         tokens = np.concatenate(parts)
         hashes = np.array(list(map(xxhash.xxh64_intdigest, vocabulary)), dtype=np.uint64)
         word = hashes[tokens]
-        inside = np.arange(len(word)) - np.repeat(self.first, self.sizes)
+        del texts, words, vocabulary, parts, tokens  # a worker's peak is in the sorts below
+        inside = np.arange(len(word), dtype=np.int32) - np.repeat(self.first.astype(np.int32), self.sizes)
         self.real, self.keys, self.at = {}, {}, {}
         head = None
         for n in range(1, order + 1):
@@ -87,8 +88,10 @@ class Grams:
                 if n == 2:
                     before[self.first] = hashes[0]
                 head = _mix(before, word)
+                del before
             self.real[n] = inside >= n - 2
-            self.keys[n], self.at[n] = np.unique(head, return_inverse=True)
+            self.keys[n], at = np.unique(head, return_inverse=True)
+            self.at[n] = at.astype(np.int32)
 
 
 def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
@@ -103,7 +106,7 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             return pa.RecordBatch.from_pydict({
                 "chunk": [part << 32 | seq], "ids": pa.array([ids], pa.list_(id_type)), "train": [train],
                 "lengths": [_pack(np.array([len(t) for t in texts], dtype="<u4"))],
-                "texts": [zstandard.ZstdCompressor(level=1).compress(b"".join(texts))],
+                "texts": [zstandard.ZstdCompressor(level=3).compress(b"".join(texts))],
             })
 
         for batch in batches:
@@ -170,13 +173,16 @@ def _together(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of rows of one range: their distinct grams in order, where each row's
     grams stand among them, and where each row's grams begin there."""
     grams = [np.cumsum(_unpack(r["grams"], "<u8"), dtype=np.uint64) for r in rows]
-    keys, place = np.unique(np.concatenate(grams), return_inverse=True)
-    return keys, place, np.cumsum([0, *map(len, grams)])
+    cut = np.cumsum([0, *map(len, grams)])
+    together = np.concatenate(grams)
+    del grams
+    keys, place = np.unique(together, return_inverse=True)
+    return keys, place, cut
 
 
 def _summed(rows: list[dict], keys: np.ndarray, place: np.ndarray) -> np.ndarray:
     totals = np.zeros(len(keys), dtype=np.int64)
-    np.add.at(totals, place, np.concatenate([_unpack(r["counts"], "<u8") for r in rows]).astype(np.int64))
+    np.add.at(totals, place, np.concatenate([_unpack(r["counts"], "<i8") for r in rows]))
     return totals
 
 
@@ -203,10 +209,10 @@ def _sum_shard(table: pa.Table) -> pa.Table:
 
 def hops(chunks: int, radix_bits: int = RADIX_BITS) -> list[int]:
     """Bits of the gram hash that each hop of the exchange goes by: in all
-    those of half as many shards as there are chunks, `radix_bits` at most a hop."""
-    bits = max(0, chunks - 1).bit_length() - 1
+    those of as many shards as there are chunks, `radix_bits` at most a hop."""
+    bits = max(0, chunks - 1).bit_length()
     n = max(1, -(-bits // radix_bits))
-    return [max(0, bits) * (k + 1) // n - max(0, bits) * k // n for k in range(n)]
+    return [bits * (k + 1) // n - bits * k // n for k in range(n)]
 
 
 def _corpus_counts(asked: DataFrame, units: int, bits: list[int], used: int) -> DataFrame:
@@ -267,14 +273,14 @@ class BackoffAutomaton:
         self.base = np.log10((totals[1] + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
         end = np.searchsorted(grams.keys[1], np.uint64(xxhash.xxh64_intdigest(_END)))
         offset = np.cumsum([1, *(len(grams.keys[n]) for n in range(1, self.order))])
-        self.fail_to, self.fail_weight = np.zeros(offset[-1], np.int64), np.zeros(offset[-1])
+        self.fail_to, self.fail_weight = np.zeros(offset[-1], np.int32), np.zeros(offset[-1])
         self.seen = {n: totals[n] > 0 for n in totals}
         self.arcs, self.goes_to, self.start = {1: self.base}, {}, 0
         for n in range(1, self.order + 1):
             size = len(grams.keys[n])
-            tail = np.zeros(size, np.int64)
+            tail = np.zeros(size, np.int32)
             if n > 1:
-                head = np.zeros(size, np.int64)
+                head = np.zeros(size, np.int32)
                 tail[grams.at[n]] = grams.at[n - 1]
                 before = np.r_[end, grams.at[n - 1][:-1]]
                 if n == 2:
@@ -283,14 +289,15 @@ class BackoffAutomaton:
                 k = strengths[n - 2]
                 lower = 10.0 ** self.arcs[n - 1][tail]
                 self.arcs[n] = np.log10((totals[n] + k * lower) / (totals[n - 1][head] + k))
+                del before, head, lower
             if n < self.order:
                 states = slice(offset[n - 1], offset[n])
                 self.fail_to[states] = offset[n - 2] + tail if n > 1 else 0
                 self.fail_weight[states] = np.log10(strengths[n - 1] / (totals[n] + strengths[n - 1]))
-                self.goes_to[n] = np.where(self.seen[n], offset[n - 1] + np.arange(size), 0)
+                self.goes_to[n] = np.where(self.seen[n], offset[n - 1] + np.arange(size), 0).astype(np.int32)
             else:
-                self.goes_to[n] = offset[n - 2] + tail if n > 1 else np.zeros(size, np.int64)
-        self.level = np.repeat(np.arange(self.order), [1, *(len(grams.keys[n]) for n in range(1, self.order))])
+                self.goes_to[n] = (offset[n - 2] + tail).astype(np.int32) if n > 1 else tail
+        self.level = np.repeat(np.arange(self.order, dtype=np.int8), [1, *(len(grams.keys[n]) for n in range(1, self.order))])
         if self.order > 1 and self.seen[1][end]:
             self.start = int(offset[0] + end)
 
@@ -322,7 +329,7 @@ class BackoffAutomaton:
     def _step(self, state: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The next states and log10 probabilities on reading the tokens at
         `at`: failure arcs are followed down to a state with an arc."""
-        log_p, into, level = np.zeros(len(at)), np.zeros(len(at), np.int64), self.level[state]
+        log_p, into, level = np.zeros(len(at)), np.zeros(len(at), np.int32), self.level[state]
         for n in range(self.order, 0, -1):
             here = np.flatnonzero(level == n - 1)
             gram = self.grams.at[n][at[here]]
@@ -381,11 +388,12 @@ def score_documents(
         grams = Grams(_texts(row), order)
         found: dict[int, list] = defaultdict(list)
         for answer in sorted(answers.to_pylist(), key=lambda a: (a["length"], a["shard"])):
-            found[answer["length"]].append(_unpack(answer["totals"], "<u8"))
-        counts = {n: np.concatenate(f).astype(np.int64) for n, f in found.items()}
+            found[answer["length"]].append(_unpack(answer["totals"], "<i8"))
+        counts = {n: np.concatenate(found.pop(n)) for n in sorted(found)}
         automaton = BackoffAutomaton(grams, counts, n_tokens, n_words, strengths)
+        del counts
         log_p, base = automaton.traverse(), automaton.base[grams.at[1]]
-        known = (counts[1] > 0)[grams.at[1]].astype(np.int64)
+        known = automaton.seen[1][grams.at[1]].astype(np.int64)
         total = lambda x: np.add.reduceat(x, grams.first)
         return pa.table({
             "id": pa.array(row["ids"], chunk.schema.field("ids").type.value_type), "n_tokens": grams.sizes,

@@ -100,8 +100,8 @@ def test_rows_exchanged_grow_with_the_chunks(spark):
 def test_hops_are_even_and_bounded():
     from logsieve.llm.lm import hops
 
-    assert hops(0) == hops(1) == hops(2) == [0]
-    assert hops(118) == [6] and hops(7000) == [12] and hops(12_500_000) == [11, 12] and hops(40, 2) == [1, 2, 2]
+    assert hops(0) == hops(1) == [0] and hops(2) == [1]
+    assert hops(118) == [7] and hops(4096) == [12] and hops(12_500_000) == [12, 12] and hops(40, 2) == [2, 2, 2]
     assert all(max(hops(n)) <= 12 for n in range(0, 1 << 20, 997))
 
 
