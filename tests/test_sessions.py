@@ -97,3 +97,26 @@ def test_stream_gives_the_closed_sessions_of_the_batch(spark, tmp_dir):
     want = [r for r in brute_sessions(rows, 600) if r[5] >= 3 and r[2] + timedelta(seconds=600) < last]
     assert sorted(map(tuple, got), key=repr) == want
     assert len(want) > 3
+
+
+@pytest.mark.parametrize("seed,ips,watermark", [(12, 40, "1 minute"), (13, 200, "5 minutes")])
+def test_stream_state_is_a_row_for_many_ips(spark, tmp_dir, seed, ips, watermark):
+    """Runs and sessions that go on over slices, ties, a null IP; IPs share state rows."""
+    rng = random.Random(seed)
+    rows = sorted((log_row(T + timedelta(seconds=rng.randrange(9000)), status=rng.choice([200, 401, 403, None]),
+                           ip=rng.choice([None, "a", "b", f"é{rng.randrange(ips)}", f"x{rng.randrange(ips)}"]))
+                   for _ in range(4000)), key=lambda r: r[0])
+    rows += [log_row(T + timedelta(hours=4), ip="z")]
+    rows = [r for r in rows if r[5] is not None]
+    buckets, slices = 16, [rows[:700], rows[700:1500], rows[1500:]]
+    for k, part in enumerate(slices):
+        write_logs_csv(make_logs(spark, rng.sample(part, len(part))), f"{tmp_dir}/src/slice{k}")
+        stream = prepare_stream(read_log_stream(spark, f"{tmp_dir}/src/*"), watermark)
+        query = stream_slow_attacks(stream, 2, 300, buckets=buckets).writeStream.format("parquet").option(
+            "path", f"{tmp_dir}/out").option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert all(p["stateOperators"][0]["numRowsTotal"] <= buckets for p in query.recentProgress)
+    got = spark.read.parquet(f"{tmp_dir}/out").select(*SESSION_COLUMNS).collect()
+    want = [r for r in brute_sessions(rows, 300) if r[5] >= 2 and r[0] != "z"]
+    assert sorted(map(tuple, got), key=repr) == want
+    assert len(want) > 30
