@@ -7,6 +7,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from itertools import islice
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -158,7 +159,17 @@ _PIECE = re.compile(
 )
 
 
+# The same pieces of a text of ASCII characters alone, where nothing but a
+# letter goes on a word.
+_ASCII_PIECE = re.compile(r" ?[A-Za-z]+| ?[^\t-\r ]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 _WORD = re.compile(f" ?[{_LETTERS}]+")
+_SPACE_WRITTEN = "\u0120"  # how byte-level BPE writes a space
+_TOKEN_ID = attrgetter("id")
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(17)]
+
+
+def _cut(text: str) -> list[str]:
+    return (_ASCII_PIECE if text.isascii() else _PIECE).findall(text)
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -231,11 +242,14 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if not _WORD.fullmatch(piece):
+        if piece.isascii() and piece.removeprefix(" ").isalpha():
+            written = _SPACE_WRITTEN + piece[1:] if piece[0] == " " else piece
+        elif _WORD.fullmatch(piece):
+            written = piece.encode().decode("latin-1").translate(self.alphabet)
+        else:
             return self._ids(piece)
-        written = piece.encode().decode("latin-1").translate(self.alphabet)
-        ids = [t.id for t in self.model.tokenize(written)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        ids = list(map(_TOKEN_ID, self.model.tokenize(written)))
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -243,10 +257,10 @@ class Encoder:
         if not self.by_piece:
             return self._ids(text)
         if not any(content in text for content in self.added):
-            return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
+            return b"".join(map(self.pieces.__getitem__, _cut(text)))
         out = []
         for k, part in enumerate(self.at_added.split(text)):
-            out += [self.added[part]] if k % 2 else map(self.pieces.__getitem__, _PIECE.findall(part))
+            out += [self.added[part]] if k % 2 else map(self.pieces.__getitem__, _cut(part))
         return b"".join(out)
 
 

@@ -9,6 +9,8 @@ import pytest
 from tokenizers import Tokenizer
 
 from logsieve.llm.wavelet import (
+    _ASCII_PIECE,
+    _PIECE,
     Encoder,
     WaveletMatrix,
     read_token_shards,
@@ -116,3 +118,14 @@ def test_special_token_strings_as_the_plain_call_reads_them(spark):
     path = scratch_path(spark, "shards")
     write_token_shards(spark.createDataFrame(rows, "doc_id long, text string"), path)
     assert sorted(tuple(r) for r in read_token_shards(spark, path).collect()) == _expected(rows)
+
+
+def test_ascii_texts_are_cut_and_encoded_alike():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, encoder, rnd = Tokenizer.from_file(path), Encoder(path, special_as_text=False), random.Random(8)
+    letters = [*map(chr, range(128)), *"   ab'sTZ", "word", " word", "\r\n", "x" * 300]
+    for _ in range(4000):
+        text = "".join(rnd.choices(letters, k=rnd.randint(1, 14)))
+        assert _ASCII_PIECE.findall(text) == _PIECE.findall(text), repr(text)
+        want = np.array(plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert encoder.encode(text) == want, repr(text)
