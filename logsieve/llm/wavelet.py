@@ -11,6 +11,7 @@ from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,12 @@ BROADCAST_SHARDS = 1 << 20
 PIECES = 250_000
 #: Of these, how many it keeps when its task has ended.
 KEPT_PIECES = 50_000
+#: Bytes of text cut as one array, unless a single text is longer.
+SLICE_BYTES = 2 << 20
+#: Bytes of pieces and their ids that a worker keeps from slice to slice.
+KEPT_BYTES = 16 << 20
+#: Pieces that one call of the BPE model merges.
+MODEL_PIECES = 64
 
 _MAGIC = b"WMTX"
 
@@ -53,10 +60,12 @@ class WaveletMatrix:
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         n, now, planes = len(ids), np.asarray(ids, dtype=np.uint32), []
-        for level in range(max(1, int(now.max()).bit_length()) if n else 0, 0, -1):
-            bit = (now >> np.uint32(level - 1)) & np.uint32(1) != 0
+        bits = max(1, int(now.max()).bit_length()) if n else 0
+        now = now.astype(np.uint16) if bits <= 16 else now
+        for level in range(bits - 1, -1, -1):
+            bit = now & now.dtype.type(1 << level) != 0
             planes.append(np.packbits(bit))
-            now = np.concatenate([now[~bit], now[bit]])
+            now = np.concatenate([now.compress(~bit), now.compress(bit)])
         return cls(n, planes)
 
     def rank1(self, plane: int, at: int) -> int:
@@ -125,14 +134,14 @@ class WaveletMatrix:
 
     def to_array(self) -> np.ndarray:
         """All ids in order, by undoing the planes from the last to the first."""
-        now = np.zeros(self.n, dtype=np.uint32)
+        now = np.zeros(self.n, dtype=np.uint16 if self.bits <= 16 else np.uint32)
         for p in range(self.bits - 1, -1, -1):
             bit = np.unpackbits(self.planes[p], count=self.n).view(bool)
             before = np.empty_like(now)
-            before[~bit] = now[: self.zeros[p]]
-            before[bit] = now[self.zeros[p] :] | np.uint32(1 << (self.bits - 1 - p))
+            before[np.flatnonzero(~bit)] = now[: self.zeros[p]]
+            before[np.flatnonzero(bit)] = now[self.zeros[p] :] | now.dtype.type(1 << (self.bits - 1 - p))
             now = before
-        return now
+        return now.astype(np.uint32)
 
     def to_bytes(self) -> bytes:
         """Header, then every plane, compressed with zstd."""
@@ -172,6 +181,77 @@ def _cut(text: str) -> list[str]:
     return (_ASCII_PIECE if text.isascii() else _PIECE).findall(text)
 
 
+# The kinds of bytes by which whole arrays of texts are cut. The bytes of a
+# wide white space and of an accented letter are all of one kind; what is known
+# of no other character is that it is not white.
+_SPACE, _BLANK, _WIDE, _LETTER, _ACCENT, _DIGIT, _QUOTE, _SIGN, _OTHER = range(9)
+_WHITE_KINDS, _LETTER_KINDS = (_SPACE, _BLANK, _WIDE), (_LETTER, _ACCENT)
+# Where two bytes that meet make a cut: between them, before the white space
+# that is the first, or, if that is wide, before its first byte.
+_BETWEEN, _BEFORE, _BEFORE_WIDE = 1, 2, 4
+
+
+def _byte_kinds() -> np.ndarray:
+    kinds = np.full(256, _OTHER, dtype=np.uint8)
+    kinds[:128] = _SIGN
+    kinds[ord("\t") : ord("\r") + 1] = _BLANK
+    kinds[[ord(" "), ord("'")]] = _SPACE, _QUOTE
+    kinds[ord("0") : ord("9") + 1] = _DIGIT
+    kinds[ord("A") : ord("Z") + 1] = kinds[ord("a") : ord("z") + 1] = _LETTER
+    return kinds
+
+
+def _border(a: int, b: int) -> int:
+    """The cuts that a byte of kind `a` before one of kind `b` makes. Of a run
+    of white space before another character the last is a piece of its own, or
+    a space at the head of the next piece; a quote may go on with letters."""
+    if a in _WHITE_KINDS:
+        return 0 if b in _WHITE_KINDS else {_SPACE: _BEFORE, _BLANK: _BETWEEN | _BEFORE, _WIDE: _BETWEEN | _BEFORE_WIDE}[a]
+    if b in _WHITE_KINDS:
+        return _BETWEEN
+    after = {
+        _LETTER: (_DIGIT, _QUOTE, _SIGN), _ACCENT: (_DIGIT, _QUOTE, _SIGN), _DIGIT: (*_LETTER_KINDS, _QUOTE, _SIGN),
+        _SIGN: (*_LETTER_KINDS, _DIGIT), _QUOTE: (_DIGIT,), _OTHER: (),
+    }
+    return _BETWEEN if b in after[a] else 0
+
+
+_KINDS = _byte_kinds()
+_BORDERS = np.array([_border(a, b) if max(a, b) <= _OTHER else 0 for a in range(16) for b in range(16)], dtype=np.uint8)
+
+
+def _kinds(raw: np.ndarray) -> np.ndarray:
+    """The kind of every byte of UTF-8 texts."""
+    kinds = _KINDS[raw]
+    if not len(raw) or raw.max() < 0x80:
+        return kinds
+    at = np.flatnonzero((raw >= 0xC3) & (raw <= 0xCA))  # À to ʯ, less the signs × and ÷
+    lead, second = raw[at], raw[at + 1]
+    at = at[~((lead == 0xC3) & ((second == 0x97) | (second == 0xB7)) | (lead == 0xCA) & (second > 0xAF))]
+    kinds[at] = kinds[at + 1] = _ACCENT
+    at = np.flatnonzero(raw == 0xC2)
+    at = at[(raw[at + 1] == 0x85) | (raw[at + 1] == 0xA0)]
+    kinds[at] = kinds[at + 1] = _WIDE
+    at = np.flatnonzero((raw >= 0xE1) & (raw <= 0xE3))
+    code = (raw[at].astype(np.int32) & 15) << 12 | (raw[at + 1].astype(np.int32) & 63) << 6 | raw[at + 2] & 63
+    at = at[np.isin(code, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])]
+    kinds[at] = kinds[at + 1] = kinds[at + 2] = _WIDE
+    return kinds
+
+
+def _cuts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts begin that lie side by side in `raw`, each
+    from one of `starts` on. As finely as bytes side by side can tell, always
+    where the byte-level pre-tokenizer cuts too."""
+    kinds, border = _kinds(raw), np.zeros(len(raw) + 1, dtype=np.uint8)
+    np.take(_BORDERS, kinds[:-1] << 4 | kinds[1:], out=border[1:-1])
+    border[starts] = _BETWEEN
+    cut = border[:-1] & _BETWEEN | border[1:] >> 1 & 1
+    at = np.flatnonzero(border & _BEFORE_WIDE)
+    cut[np.where(raw[at - 2] == 0xC2, at - 2, at - 3)] = 1
+    return np.flatnonzero(cut)
+
+
 def _byte_alphabet() -> dict[int, str]:
     """How byte-level BPE writes each byte: printable Latin-1 as itself, the
     others, in order, as the characters from 256 on."""
@@ -214,6 +294,11 @@ class Encoder:
     tokens are cut out first and give those tokens' ids; with
     `special_as_text` the special ones among them are ordinary text. Any
     other tokenizer encodes the text as one piece.
+
+    `encode_all` cuts a column of texts as one array of bytes and has the
+    library encode what it has not met, words many at a time: the model's
+    merges never take in a byte that no token holds but its own, so words
+    with such a byte between them are merged each by itself.
     """
 
     def __init__(self, path: str, special_as_text: bool = True):
@@ -237,6 +322,19 @@ class Encoder:
         self.at_added = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
         self.alphabet = _byte_alphabet()
         self.pieces = _Pieces(self._piece)
+        self._forget()
+        self.mark = self._unmerged_byte() if self.by_piece else None
+
+    def _forget(self) -> None:
+        self.known, self.known_ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def _unmerged_byte(self) -> int | None:
+        """The id of the byte 0xFF, which no text holds, if the model always
+        leaves it by itself."""
+        model, written = self.model, self.alphabet[0xFF]
+        plain = not (model.dropout or model.ignore_merges or model.continuing_subword_prefix or model.end_of_word_suffix)
+        vocabulary = self.tokenizer.get_vocab()
+        return vocabulary[written] if plain and [t for t in vocabulary if written in t] == [written] else None
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -263,6 +361,80 @@ class Encoder:
             out += [self.added[part]] if k % 2 else map(self.pieces.__getitem__, _cut(part))
         return b"".join(out)
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text of a column, in order; a null text is empty."""
+        if self.mark is None:
+            yield from map(self.encode, each(texts))
+            return
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        texts.validate(full=True)
+        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(at, at[first] + SLICE_BYTES, "right")) - 1)
+            part = texts[first:last]
+            special = np.zeros(len(part), dtype=bool)
+            for content in self.added:
+                special |= pc.match_substring(part, content).to_numpy(zero_copy_only=False)
+            for k, ids in enumerate(self._slice(part, at[first : last + 1])):
+                yield self.encode(part[k].as_py()) if special[k] else ids
+            first = last
+
+    def _slice(self, texts: pa.Array, at: np.ndarray) -> Iterator[bytes]:
+        """The ids of each text; `at` holds where they begin in their buffer and
+        where the last ends. Strings of added tokens are read as text."""
+        if at[0] == at[-1]:
+            return iter([b""] * len(texts))
+        raw, starts = np.frombuffer(texts.buffers()[2], np.uint8)[at[0] : at[-1]], at - at[0]
+        cuts = _cuts(raw, starts)
+        ends = np.append(cuts, len(raw))
+        pieces = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(ends), pa.py_buffer(raw))
+        found = pc.index_in(pieces, value_set=self.known)
+        missing = pc.is_null(found)
+        places = pc.fill_null(found, 0).to_numpy(zero_copy_only=False)
+        if found.null_count:
+            unseen = pieces.filter(missing).dictionary_encode()
+            places = places.copy()
+            places[missing.to_numpy(zero_copy_only=False)] = self._learn(unseen.dictionary)[unseen.indices.to_numpy()]
+        ids = self.known_ids.take(pa.array(places))
+        if self.known.nbytes + self.known_ids.nbytes > KEPT_BYTES:  # what this slice used stays
+            used = pa.array(np.unique(places))
+            self.known, self.known_ids = self.known.take(used), self.known_ids.take(used)
+            if self.known.nbytes + self.known_ids.nbytes > KEPT_BYTES:
+                self._forget()
+        bounds = np.frombuffer(ids.buffers()[1], np.int64)[np.searchsorted(ends, starts)].tolist()
+        data = memoryview(ids.buffers()[2])
+        return (bytes(data[a:b]) for a, b in zip(bounds[:-1], bounds[1:]))
+
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """Encode unseen pieces; where each now stands among the known ones."""
+        at = np.frombuffer(pieces.buffers()[1], np.int64)[: len(pieces) + 1]
+        kinds = _kinds(np.frombuffer(pieces.buffers()[2], np.uint8)[: at[-1]])
+        body = np.diff(at) - (kinds[at[:-1]] == _SPACE)
+        one = np.zeros(len(pieces), dtype=bool)
+        for alike in (_LETTER_KINDS, (_DIGIT,), (_QUOTE, _SIGN)):
+            one |= np.add.reduceat(np.isin(kinds, alike), at[:-1], dtype=np.int64) == body
+        one &= body > 0
+        words, others = pieces.filter(pa.array(one)), pieces.filter(pa.array(~one))
+        others_ids = pa.array([self._ids(p) for p in others.to_pylist()], pa.large_binary())
+        places = np.empty(len(pieces), dtype=np.int32)
+        places[np.r_[np.flatnonzero(one), np.flatnonzero(~one)]] = len(self.known) + np.arange(len(pieces))
+        self.known = pa.concat_arrays([self.known, words, others])
+        self.known_ids = pa.concat_arrays([self.known_ids, self._merged(words), others_ids])
+        return places
+
+    def _merged(self, words: pa.Array) -> pa.Array:
+        """The ids of pieces that the pre-tokenizer leaves whole, by the model."""
+        raw, tokens = words.cast(pa.large_binary()).to_pylist(), []
+        for k in range(0, len(raw), MODEL_PIECES):
+            written = b"".join(p + b"\xff" for p in raw[k : k + MODEL_PIECES]).decode("latin-1").translate(self.alphabet)
+            tokens += map(_TOKEN_ID, self.model.tokenize(written))
+        ids = np.array(tokens, dtype="<u4")
+        marks = np.flatnonzero(ids == self.mark)
+        at = np.r_[0, marks - np.arange(len(marks))].astype(np.int64) * 4
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(raw), [None, pa.py_buffer(at), pa.py_buffer(ids[ids != self.mark])])
+
 
 def _encoder(path: str, made: dict[str, Encoder] = {}) -> Encoder:  # noqa: B006  one per worker process
     if path not in made:
@@ -324,8 +496,8 @@ def write_token_shards(
 
         for batch in batches:
             id_type = batch.column("id").type
-            for name, text, part in zip(*(each(batch.column(c)) for c in ("id", "text", "part"))):
-                raw = own.encode(text)
+            encoded = own.encode_all(batch.column("text"))
+            for name, raw, part in zip(each(batch.column("id")), encoded, each(batch.column("part"))):
                 tokens += [raw, end]
                 ids.append(name)
                 lengths.append(len(raw) // 4 + 1)
@@ -336,6 +508,7 @@ def write_token_shards(
         if ids:
             yield shard()
         own.pieces.trim()
+        pa.default_memory_pool().release_unused()
 
     ranges.mapInArrow(run, SHARD_SCHEMA.format(id=kind)).write.option("compression", "uncompressed").parquet(path)
 

@@ -5,9 +5,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from logsieve.llm import wavelet
 from logsieve.llm.wavelet import (
     _ASCII_PIECE,
     _PIECE,
@@ -129,3 +131,55 @@ def test_ascii_texts_are_cut_and_encoded_alike():
         assert _ASCII_PIECE.findall(text) == _PIECE.findall(text), repr(text)
         want = np.array(plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         assert encoder.encode(text) == want, repr(text)
+
+
+def _plain(tokenizer, texts):
+    return [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+
+
+@pytest.mark.parametrize("slice_bytes, kept_bytes", [(2 << 20, 16 << 20), (3000, 60_000), (1, 0)])
+def test_columns_are_encoded_like_the_library(monkeypatch, slice_bytes, kept_bytes):
+    monkeypatch.setattr(wavelet, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(wavelet, "KEPT_BYTES", kept_bytes)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, encoder, rnd = Tokenizer.from_file(path), Encoder(path, special_as_text=False), random.Random(9)
+    assert encoder.mark is not None
+    letters = [*"aZ'st19.,-é×½ª_я文ʰ😀\0\x1c\x7f \n\t", *"\x85\xa0\u1680\u2005\u200b\u2028\u202f\u205f\u3000", "  ", "\r\n",
+               "'s", "'ll", " word", "ärger", "<|endoftext|>", "x" * 300]
+    texts = ["".join(rnd.choices(letters, k=rnd.randint(0, 14))) for _ in range(400 if slice_bytes == 1 else 4000)]
+    texts += [None, "", " ", "\n", "", None]
+    column = pa.array(["cut off", *texts, "cut off"])[1:-1]
+    want = _plain(plain, texts)
+    assert list(encoder.encode_all(column)) == want
+    assert list(encoder.encode_all(column.cast(pa.large_string()))) == want  # from what it has met by now
+    assert encoder.known.nbytes + encoder.known_ids.nbytes <= kept_bytes
+    assert list(encoder.encode_all(pa.array([None, ""], pa.string()))) == [b"", b""]
+    assert list(encoder.encode_all(pa.array([], pa.string()))) == []
+
+
+def test_columns_hold_any_character():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, encoder = Tokenizer.from_file(path), Encoder(path, special_as_text=False)
+    texts = [f"a{c}b {c}.{c}1{c} '{c}s {c}{c} \n{c}" for c in map(chr, range(0x3010))]
+    for text, want, got in zip(texts, _plain(plain, texts), encoder.encode_all(pa.array(texts))):
+        assert got == want, repr(text)
+
+
+def test_unseen_words_go_to_the_model_many_at_a_time():
+    class Counted:
+        def __init__(self, model):
+            self.model, self.calls = model, 0
+
+        def tokenize(self, text):
+            self.calls += 1
+            return self.model.tokenize(text)
+
+    path, rnd = public_tokenizers.path("byte_bpe_50k.json"), random.Random(10)
+    plain, encoder = Tokenizer.from_file(path), Encoder(path, special_as_text=False)
+    encoder.model = model = Counted(encoder.model)
+    words = ["".join(rnd.choices("aeiouéstnr", k=9)) for _ in range(6400)]
+    texts = [" ".join(words[k : k + 100]) for k in range(0, len(words), 100)]
+    assert list(encoder.encode_all(pa.array(texts))) == _plain(plain, texts)
+    assert model.calls <= 101  # a call for each before
+    assert list(encoder.encode_all(pa.array(texts))) == _plain(plain, texts)
+    assert model.calls <= 101
